@@ -11,12 +11,15 @@ from clickscope.operators.topk import top_k, top_k_per_group
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 10
 
-CATEGORY_ORDER = (
-    F.col("click_count").desc(),
-    F.col("order_count").desc(),
-    F.col("pay_count").desc(),
-    F.col("category_id").asc(),
-)
+
+def category_order() -> list:
+    """Clicks, then orders, then pays, all descending; then the id."""
+    return [
+        F.col("click_count").desc(),
+        F.col("order_count").desc(),
+        F.col("pay_count").desc(),
+        F.col("category_id").asc(),
+    ]
 
 
 def category_behavior_counts(actions: DataFrame) -> DataFrame:
@@ -34,7 +37,7 @@ def category_top10(actions: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
     the same every run.
     """
     counts = category_behavior_counts(actions)
-    return top_k(counts, CATEGORY_ORDER, k).select(
+    return top_k(counts, category_order(), k).select(
         "category_id", "click_count", "order_count", "pay_count"
     )
 
