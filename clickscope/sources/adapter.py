@@ -25,102 +25,115 @@ Mapping (``k`` is the integer ``props.k`` of an event):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickscope import schemas
 from clickscope.sources.tables import ClickstreamTables
 
-CLICK_TYPES = ("click", "view")
-ORDER_TYPE = "signup"
-PAY_TYPE = "purchase"
-SEARCH_TYPE = "error"
-
-
-def _id_str(expr: Column) -> Column:
-    return expr.cast("string")
+# Schemas of the driver's tables that the adapter reads.
+# Declaring them skips a footer read per table per query.
+DRIVER_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+# The derivation as SQL expressions: one projection, parsed once on the JVM.
+_EVENT_BASE = (
+    "event_id",
+    "ts",
+    "user_id",
+    "event_type",
+    "cast(get_json_object(props, '$.k') as bigint) as k",
+    # "yyyy-MM-dd HH:mm:ss[.ffffff]" of a timestamp without time zone: its
+    # first 19 / 10 characters are the second-resolution time and the date.
+    "cast(ts as string) as ts_text",
+)
+
+_ACTION_COLUMNS = (
+    "substring(ts_text, 1, 10) as date",
+    "user_id",
+    "concat(cast(user_id as string), '-', cast(floor((dayofmonth(ts) - 1) / 5) as string))"
+    " as session_id",
+    "k % 10 + 1 as page_id",
+    "substring(ts_text, 1, 19) as action_time",
+    "case when event_type = 'error' then concat('kw_', cast(k % 6 as string)) end"
+    " as search_keyword",
+    "case when event_type in ('click', 'view') then (event_id % 23) % 20 + 1 else -1 end"
+    " as click_category_id",
+    "case when event_type in ('click', 'view') then (k * k + event_id % 7) % 60 else -1 end"
+    " as click_product_id",
+    "case when event_type = 'signup' then concat_ws(',', cast(event_id % 19 + 1 as string),"
+    " case when k % 3 >= 1 then cast((event_id + 5) % 19 + 1 as string) end,"
+    " case when k % 3 = 2 then cast((event_id + 11) % 19 + 1 as string) end) end"
+    " as order_category_ids",
+    "cast(null as string) as order_product_ids",
+    "case when event_type = 'purchase' then concat_ws(',', cast(event_id % 17 + 1 as string),"
+    " case when k % 2 = 1 then cast((event_id + 4) % 17 + 1 as string) end) end"
+    " as pay_category_ids",
+    "cast(null as string) as pay_product_ids",
+    "(event_id * 3 + k) % 25 as city_id",
+    "event_id as action_seq",
+)
+
+
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread an input that arrives in fewer splits than there are cores.
+
+    The driver's files hold a single row group each, so their scan is one
+    task however many cores there are.  Hashing on a unique key spreads the
+    per-row derivation over all cores, deterministically (a re-run task
+    gets the same rows).  A large input already has at least as many
+    splits as cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def actions_from_events(events: DataFrame) -> DataFrame:
-    event_id = F.col("event_id")
-    k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
-    is_click = F.col("event_type").isin(*CLICK_TYPES)
-    base = events.select(
-        "event_id", "ts", "user_id", "event_type", k.alias("k")
-    )
-    k = F.col("k")
-    order_ids = F.concat_ws(
-        ",",
-        _id_str(event_id % 19 + 1),
-        F.when(k % 3 >= 1, _id_str((event_id + 5) % 19 + 1)),
-        F.when(k % 3 == 2, _id_str((event_id + 11) % 19 + 1)),
-    )
-    pay_ids = F.concat_ws(
-        ",",
-        _id_str(event_id % 17 + 1),
-        F.when(k % 2 == 1, _id_str((event_id + 4) % 17 + 1)),
-    )
-    session_part = F.floor((F.dayofmonth("ts") - 1) / 5).cast("bigint")
-    out = base.select(
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        F.concat(_id_str(F.col("user_id")), F.lit("-"), _id_str(session_part)).alias("session_id"),
-        (k % 10 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        F.when(F.col("event_type") == SEARCH_TYPE, F.concat(F.lit("kw_"), _id_str(k % 6))).alias(
-            "search_keyword"
-        ),
-        F.when(is_click, (event_id % 23) % 20 + 1).otherwise(F.lit(-1)).cast("bigint").alias(
-            "click_category_id"
-        ),
-        F.when(is_click, (k * k + event_id % 7) % 60).otherwise(F.lit(-1)).cast("bigint").alias(
-            "click_product_id"
-        ),
-        F.when(F.col("event_type") == ORDER_TYPE, order_ids).alias("order_category_ids"),
-        F.lit(None).cast("string").alias("order_product_ids"),
-        F.when(F.col("event_type") == PAY_TYPE, pay_ids).alias("pay_category_ids"),
-        F.lit(None).cast("string").alias("pay_product_ids"),
-        ((event_id * 3 + k) % 25).cast("bigint").alias("city_id"),
-        event_id.cast("bigint").alias("action_seq"),
+    derived = events.selectExpr(*_EVENT_BASE).selectExpr(*_ACTION_COLUMNS)
+    return derived.selectExpr(
+        *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schemas.USER_VISIT_ACTION.fields]
     )
-    return out.select([F.col(f.name).cast(f.dataType) for f in schemas.USER_VISIT_ACTION.fields])
 
 
 def users_from_customer(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey").cast("bigint")
-    return customer.select(
-        key.alias("userId"),
-        F.col("c_name").alias("userName"),
-        F.col("c_name").alias("name"),
-        (F.lit(10) + key % 50).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.when(key % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+    return customer.selectExpr(
+        "c_custkey as userId",
+        "c_name as userName",
+        "c_name as name",
+        "cast(10 + c_custkey % 50 as int) as age",
+        "c_mktsegment as professional",
+        "case when c_custkey % 2 = 0 then 'F' else 'M' end as gender",
     )
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").cast("bigint").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("extend_info"),
+    return part.selectExpr(
+        "p_partkey as product_id", "p_name as product_name", "p_type as extend_info"
     )
 
 
 def cities_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
     joined = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner")
-    return joined.select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
+    return joined.selectExpr(
+        "cast(n_nationkey as bigint) as city_id", "n_name as city_name", "r_name as area"
     )
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str) -> ClickstreamTables:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     return ClickstreamTables(
-        actions=actions_from_events(read("events")),
+        actions=actions_from_events(spread_small_input(read("events"), "event_id")),
         users=users_from_customer(read("customer")),
         products=products_from_part(read("part")),
         cities=cities_from_nation(read("nation"), read("region")),
