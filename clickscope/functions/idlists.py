@@ -6,17 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def id_tokens(list_col: Column | str) -> Column:
+def id_tokens_sql(column: str) -> str:
     """``"3,1,"`` -> ``["3", "1"]``: split on ``,`` and drop empty tokens.
 
     Spark's ``split`` keeps trailing empty strings where the JVM's
     ``String.split`` drops them, and an inner empty token (``"1,,2"``) would
     name no category; both are removed.  Null stays null.
     """
-    col = F.col(list_col) if isinstance(list_col, str) else list_col
-    return F.filter(F.split(col, ","), lambda token: token != F.lit(""))
+    return f"filter(split({column}, ','), token -> token != '')"
 
 
-def id_list(list_col: Column | str) -> Column:
-    """Same as :func:`id_tokens`, each token cast to ``bigint``."""
-    return F.transform(id_tokens(list_col), lambda token: token.cast("bigint"))
+def id_list_sql(column: str) -> str:
+    """Same as :func:`id_tokens_sql`, each token cast to ``bigint``."""
+    return f"transform({id_tokens_sql(column)}, token -> cast(token as bigint))"
+
+
+def id_tokens(column: str) -> Column:
+    return F.expr(id_tokens_sql(column))
+
+
+def id_list(column: str) -> Column:
+    return F.expr(id_list_sql(column))

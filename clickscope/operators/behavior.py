@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.functions.idlists import id_list
+from clickscope.functions.idlists import id_list_sql
 
 CLICK = "click"
 ORDER = "order"
@@ -13,31 +13,35 @@ PAY = "pay"
 
 NO_CLICK = -1  # the fact table's "not a click" marker for click ids
 
+IS_CLICK_SQL = f"click_category_id != {NO_CLICK}"
 
-def is_click(category_col: str = "click_category_id") -> Column:
-    return F.col(category_col) != F.lit(NO_CLICK)
+# F6-F8: the first that applies of click, order, pay (else null).  The kinds
+# exclude one another in that order: an action that is both a click and an
+# order counts only as a click.
+KIND_SQL = (
+    f"case when {IS_CLICK_SQL} then '{CLICK}'"
+    f" when order_category_ids is not null then '{ORDER}'"
+    f" when pay_category_ids is not null then '{PAY}' end"
+)
 
+# The categories an action counts for, by the same precedence.
+CATEGORY_IDS_SQL = (
+    f"case when {IS_CLICK_SQL} then array(click_category_id)"
+    f" when order_category_ids is not null then {id_list_sql('order_category_ids')}"
+    f" when pay_category_ids is not null then {id_list_sql('pay_category_ids')} end"
+)
 
-def behavior_kind() -> Column:
-    """F6-F8: the first that applies of click, order, pay (else null).
 
-    The kinds exclude one another in that order: an action that is both a
-    click and an order counts only as a click.
-    """
-    return (
-        F.when(is_click(), F.lit(CLICK))
-        .when(F.col("order_category_ids").isNotNull(), F.lit(ORDER))
-        .when(F.col("pay_category_ids").isNotNull(), F.lit(PAY))
-    )
+def is_click() -> Column:
+    return F.expr(IS_CLICK_SQL)
+
+
+def behavior_kind() -> Column:
+    return F.expr(KIND_SQL)
 
 
 def behavior_category_ids() -> Column:
-    """The categories an action counts for, by the same precedence."""
-    return (
-        F.when(is_click(), F.array(F.col("click_category_id")))
-        .when(F.col("order_category_ids").isNotNull(), id_list("order_category_ids"))
-        .when(F.col("pay_category_ids").isNotNull(), id_list("pay_category_ids"))
-    )
+    return F.expr(CATEGORY_IDS_SQL)
 
 
 def behavior_rows(actions: DataFrame) -> DataFrame:
@@ -47,10 +51,7 @@ def behavior_rows(actions: DataFrame) -> DataFrame:
     together and exploded once (no union of three filtered scans).  Actions
     of no kind have a null array and produce no row.
     """
-    return actions.select(
-        behavior_kind().alias("kind"),
-        F.explode(behavior_category_ids()).alias("category_id"),
-    )
+    return actions.selectExpr(f"{KIND_SQL} as kind", f"explode({CATEGORY_IDS_SQL}) as category_id")
 
 
 def count_behaviors(behaviors: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def count_behaviors(behaviors: DataFrame) -> DataFrame:
     all actions costs one row per task on the wire.
     """
     return behaviors.groupBy("category_id").agg(
-        F.count_if(F.col("kind") == F.lit(CLICK)).alias("click_count"),
-        F.count_if(F.col("kind") == F.lit(ORDER)).alias("order_count"),
-        F.count_if(F.col("kind") == F.lit(PAY)).alias("pay_count"),
+        F.expr(f"count_if(kind = '{CLICK}') as click_count"),
+        F.expr(f"count_if(kind = '{ORDER}') as order_count"),
+        F.expr(f"count_if(kind = '{PAY}') as pay_count"),
     )

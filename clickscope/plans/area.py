@@ -99,7 +99,7 @@ def area_product_top3(
     ranked = top_k_per_group(
         area_product_clicks(tables, spec),
         group=["area"],
-        order=[F.col("click_count").desc(), F.col("product_id").asc()],
+        order=[F.desc("click_count"), F.asc("product_id")],
         k=k,
         rank_col="area_rank",
     )

@@ -14,12 +14,7 @@ TOP_SESSIONS = 10
 
 def category_order() -> list:
     """Clicks, then orders, then pays, all descending; then the id."""
-    return [
-        F.col("click_count").desc(),
-        F.col("order_count").desc(),
-        F.col("pay_count").desc(),
-        F.col("category_id").asc(),
-    ]
+    return [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id")]
 
 
 def category_behavior_counts(actions: DataFrame) -> DataFrame:
@@ -69,7 +64,7 @@ def category_session_top10(
     ranked = top_k_per_group(
         counts,
         group=["category_id"],
-        order=[F.col("click_count").desc(), F.col("session_id").asc()],
+        order=[F.desc("click_count"), F.asc("session_id")],
         k=k,
         rank_col="session_rank",
     )

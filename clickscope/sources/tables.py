@@ -58,11 +58,13 @@ def read_parquet_tables(spark: SparkSession, root: str) -> ClickstreamTables:
     )
 
 
-def read_catalog_tables(spark: SparkSession, database: str | None = None) -> ClickstreamTables:
+def read_catalog_tables(
+    spark: SparkSession, database: str | None = None, prefix: str = ""
+) -> ClickstreamTables:
     """Read the four tables from the session catalog (Hive or other)."""
 
     def read(name: str) -> DataFrame:
-        qualified = f"{database}.{name}" if database else name
+        qualified = f"{database}.{prefix}{name}" if database else prefix + name
         return spark.table(qualified)
 
     return ClickstreamTables(
