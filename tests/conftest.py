@@ -14,9 +14,17 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from clickscope.session import build_session
 
-    session = build_session(master="local[*]", shuffle_partitions=8, app_name="clickscope-tests")
+    warehouse = tempfile.mkdtemp(prefix="clickscope-warehouse-")
+    session = build_session(
+        master="local[*]",
+        shuffle_partitions=8,
+        app_name="clickscope-tests",
+        conf={"spark.sql.warehouse.dir": warehouse},
+    )
     yield session
     session.stop()
 
