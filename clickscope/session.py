@@ -54,6 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; a cluster needs a shared folder for it"
+            )
         configured = tempfile.mkdtemp(prefix="clickscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
