@@ -64,3 +64,20 @@ def test_publish_table_overwrites(spark, golden):
     publish_table(golden.cities.limit(2), "clickscope_test_cities")
     assert spark.table("clickscope_test_cities").count() == 2
     assert preview(golden.cities, 3).count() == 3
+
+
+def test_cli_runs_all_apps(spark, capsys):
+    from clickscope.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="clickscope-cli-")
+    code = main([
+        "all", "--driver-dir", sf_dir("0.001"), "--results", f"{root}/results",
+        "--start-date", "2024-01-03", "--end-date", "2024-01-28",
+        "--start-age", "20", "--end-age", "50", "--flow", "1,2,3,4,5,6,7",
+        "--task-id", "cli-run", "--show", "1",
+    ])
+    assert code == 0
+    store = ResultStore(f"{root}/results")
+    assert store.read(spark, "category_top10", "cli-run").count() == 10
+    assert store.read(spark, "page_jump_rate", "cli-run").count() == 3
+    assert main(["area-top3", "--driver-dir", sf_dir("0.001"), "--show", "1"]) == 0
