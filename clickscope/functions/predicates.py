@@ -71,6 +71,6 @@ def is_target_jump(spec: FilterSpec, from_col: str, to_col: str) -> Column:
     pairs = list(dict.fromkeys(spec.jump_pairs))
     if not pairs:
         return F.lit(False)
-    return any_of(
-        [(F.col(from_col) == F.lit(a)) & (F.col(to_col) == F.lit(b)) for a, b in pairs]
+    return F.expr(
+        " or ".join(f"(`{from_col}` = {int(a)} and `{to_col}` = {int(b)})" for a, b in pairs)
     )

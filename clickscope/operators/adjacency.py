@@ -35,6 +35,10 @@ _BUCKET = "__range_bucket"
 _VALUE = "__value"
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
 def consecutive_pairs(
     df: DataFrame,
     group: Sequence[str],
@@ -50,45 +54,43 @@ def consecutive_pairs(
     group = list(group)
     order = list(order)
     n = ranges or shuffle_partitions(df.sparkSession)
+    groups = [_q(c) for c in group]
+    orders = ", ".join(_q(c) for c in order)
 
     keyed = df.select(*group, *order, F.col(value).alias(_VALUE))
     ranged = keyed.repartitionByRange(n, *group, *order).withColumn(
         _BUCKET, F.spark_partition_id()
     )
 
-    in_range = Window.partitionBy(*group, _BUCKET).orderBy(*order)
-    marked = ranged.select(
-        *group,
+    in_range = f"over (partition by {', '.join(groups + [_BUCKET])} order by {orders})"
+    marked = ranged.selectExpr(
+        *groups,
         _BUCKET,
-        F.col(_VALUE),
-        F.lead(_VALUE).over(in_range).alias("__next"),
-        F.lead(F.lit(1)).over(in_range).isNotNull().alias("__has_next"),
-        F.lag(F.lit(1)).over(in_range).isNull().alias("__is_first"),
+        _VALUE,
+        f"lead({_VALUE}) {in_range} as __next",
+        f"lead(1) {in_range} is not null as __has_next",
+        f"lag(1) {in_range} is null as __is_first",
     )
 
-    inside = marked.where(F.col("__has_next")).select(
-        *group, F.col(_VALUE).alias(from_col), F.col("__next").alias(to_col)
+    inside = marked.where("__has_next").selectExpr(
+        *groups, f"{_VALUE} as {_q(from_col)}", f"__next as {_q(to_col)}"
     )
 
     # One row per (group, range): its first and last value.  Wrapped in a
     # struct so a null value still marks its row.
     ends = (
-        marked.where(F.col("__is_first") | ~F.col("__has_next"))
+        marked.where("__is_first or not __has_next")
         .groupBy(*group, _BUCKET)
         .agg(
-            F.max(F.when(F.col("__is_first"), F.struct(F.col(_VALUE).alias("v")))).alias("__first"),
-            F.max(F.when(~F.col("__has_next"), F.struct(F.col(_VALUE).alias("v")))).alias("__last"),
+            F.expr(f"max(case when __is_first then named_struct('v', {_VALUE}) end) as __first"),
+            F.expr(f"max(case when not __has_next then named_struct('v', {_VALUE}) end) as __last"),
         )
     )
-    across_ranges = Window.partitionBy(*group).orderBy(_BUCKET)
+    across_ranges = f"over (partition by {', '.join(groups)} order by {_BUCKET})"
     stitched = (
-        ends.select(
-            *group,
-            F.col("__last.v").alias(from_col),
-            F.lead("__first").over(across_ranges).alias("__next_first"),
-        )
-        .where(F.col("__next_first").isNotNull())
-        .select(*group, F.col(from_col), F.col("__next_first.v").alias(to_col))
+        ends.selectExpr(*groups, "__last.v as __from", f"lead(__first) {across_ranges} as __next_first")
+        .where("__next_first is not null")
+        .selectExpr(*groups, f"__from as {_q(from_col)}", f"__next_first.v as {_q(to_col)}")
     )
     return inside.unionByName(stitched)
 
