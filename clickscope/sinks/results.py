@@ -48,7 +48,10 @@ class ResultStore:
     """Result tables as parquet folders under one shared root.
 
     Each table is partitioned by ``task_id``: an append adds one folder and
-    reading one run back prunes to that folder.
+    reading one run back prunes to that folder.  The write replaces only the
+    folder of its own ``task_id`` (dynamic partition overwrite), so re-running
+    a job under the same id after a failure leaves one copy of its rows, and
+    other runs are never touched.
     """
 
     root: str
@@ -60,7 +63,8 @@ class ResultStore:
     def append(self, name: str, df: DataFrame, task_id: str) -> None:
         (
             with_task_id(df, task_id)
-            .write.mode("append")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(TASK_ID)
             .format(self.format)
             .save(self.path(name))

@@ -24,6 +24,10 @@ def test_append_and_read_back_by_task(spark, golden):
     assert back.columns == ["task_id", "category_id", "click_count", "order_count", "pay_count"]
     assert {r.task_id for r in back.collect()} == {first}
     assert sorted(tuple(r)[1:] for r in back.collect()) == sorted(tuple(r) for r in top.collect())
+    # re-running under the same id replaces that run only
+    store.append("category_top10", top, first)
+    assert store.read(spark, "category_top10", first).count() == top.count()
+    assert store.read(spark, "category_top10").count() == 2 * top.count()
 
 
 def test_with_task_id_is_one_literal(spark, golden):
