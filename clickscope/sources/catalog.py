@@ -1,10 +1,13 @@
-"""Open the four tables once per session and read them by name.
+"""Prepare the four tables once per session and read them by name.
 
-The original jobs read ``user_visit_action`` and its dimensions from the
-metastore by name.  Here the tables derived from a folder of driver files
-are registered as session views under a name prefix unique to that folder;
-every later job reads them with ``spark.table``.  A view stores a plan, not
-data: nothing is cached, and each job still scans the files.
+The original application wrote its four tables once (a generator saved
+them to the metastore) and every job then read them by name.  Here the
+tables derived from a folder of driver files are written once per session
+as parquet under the session's shared checkpoint folder
+(``spark.checkpoint.dir``), laid out by ``date``, and registered as session
+views under a prefix unique to that folder.  Every later job scans the
+stored files: date ranges prune folders, columns are pruned, and the jobs'
+lineage starts at the stored table rather than at the raw events.
 """
 
 from __future__ import annotations
@@ -13,20 +16,52 @@ import hashlib
 
 from pyspark.sql import SparkSession
 
+from clickscope.session import ensure_checkpoint_dir
 from clickscope.sources.adapter import from_driver_tables
-from clickscope.sources.tables import ClickstreamTables, read_catalog_tables
+from clickscope.sources.tables import (
+    ClickstreamTables,
+    read_catalog_tables,
+    read_parquet_tables,
+    write_parquet_tables,
+)
 
 TABLES = ("user_visit_action", "user_info", "product_info", "city_info")
 
 
+def _digest(source: str) -> str:
+    return hashlib.sha1(source.encode("utf-8")).hexdigest()[:12]
+
+
 def view_prefix(source: str) -> str:
-    digest = hashlib.sha1(source.encode("utf-8")).hexdigest()[:12]
-    return f"clickscope_{digest}_"
+    return f"clickscope_{_digest(source)}_"
+
+
+def prepared_root(spark: SparkSession, source: str) -> str:
+    """Where the tables derived from ``source`` are stored for this session
+    (the checkpoint folder is unique to the application)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickscope-tables/{_digest(source)}"
+
+
+def prepare_driver_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Derive the tables from ``sf_dir``, store them, register the views.
+
+    Returns the folder written.  Writing replaces a previous copy in the
+    same folder, so a re-run after a failure starts clean.
+    """
+    root = prepared_root(spark, sf_dir)
+    write_parquet_tables(
+        from_driver_tables(spark, sf_dir),
+        root,
+        mode="overwrite",
+        files=spark.sparkContext.defaultParallelism,
+    )
+    read_parquet_tables(spark, root).register_views(view_prefix(sf_dir))
+    return root
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> ClickstreamTables:
-    """The clickstream tables derived from ``sf_dir``, registered on first use."""
+    """The clickstream tables derived from ``sf_dir``, prepared on first use."""
     prefix = view_prefix(sf_dir)
     if not spark.catalog.tableExists(prefix + TABLES[0]):
-        from_driver_tables(spark, sf_dir).register_views(prefix)
+        prepare_driver_tables(spark, sf_dir)
     return read_catalog_tables(spark, prefix=prefix)
