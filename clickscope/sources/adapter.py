@@ -4,8 +4,9 @@ The driver ships TPC-H-like tables plus an ``events`` stream, not a
 clickstream.  The mapping below turns them into the clickstream shape with
 integer arithmetic only, so Spark and an independent SQL engine derive
 identical rows (``__spark_entry__.oracle_sql`` holds the SQL twin).  Every
-column is a projection of one input row: the derivation scans in parallel
-and adds no shuffle, so it scales with the tables it reads.
+column is a projection of one input row, so the derivation runs wherever
+the input splits are; the only shuffle is the spread of an input that has
+fewer splits than cores (``spread_small_input``).
 
 Mapping (``k`` is the integer ``props.k`` of an event):
 
