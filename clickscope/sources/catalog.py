@@ -13,6 +13,7 @@ lineage starts at the stored table rather than at the raw events.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,22 +38,26 @@ def view_prefix(source: str) -> str:
 
 
 def prepared_root(spark: SparkSession, source: str) -> str:
-    """Where the tables derived from ``source`` are stored for this session
-    (the checkpoint folder is unique to the application)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickscope-tables/{_digest(source)}"
+    """A fresh folder for the tables derived from ``source``.
+
+    Under the application's checkpoint folder, with a new suffix on every
+    call: a preparation never overwrites files another session's views
+    still list, and a failed attempt leaves nothing a later one reads.
+    """
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/clickscope-tables/{_digest(source)}-{uuid.uuid4().hex[:12]}"
 
 
 def prepare_driver_tables(spark: SparkSession, sf_dir: str) -> str:
     """Derive the tables from ``sf_dir``, store them, register the views.
 
-    Returns the folder written.  Writing replaces a previous copy in the
-    same folder, so a re-run after a failure starts clean.
+    Returns the folder written.
     """
     root = prepared_root(spark, sf_dir)
     write_parquet_tables(
         from_driver_tables(spark, sf_dir),
         root,
-        mode="overwrite",
+        mode="error",
         files=spark.sparkContext.defaultParallelism,
     )
     read_parquet_tables(spark, root).register_views(view_prefix(sf_dir))

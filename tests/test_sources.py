@@ -75,3 +75,11 @@ def test_stored_scan_prunes_partitions_and_columns(spark, stored):
     assert "PushedFilters: [IsNotNull(age), GreaterThanOrEqual(age,20), LessThanOrEqual(age,50)" in text
     # only the columns the job needs are read from the fact table
     assert "ReadSchema: struct<user_id:bigint,click_category_id:bigint,order_category_ids:string,pay_category_ids:string>" in text
+
+
+def test_sessions_prepare_independently(spark):
+    first = driver_tables(spark, sf_dir("0.001")).actions
+    other = spark.newSession()
+    second = driver_tables(other, sf_dir("0.001")).actions
+    # the second preparation must not disturb what the first session reads
+    assert first.count() == second.count() == driver_tables(spark, sf_dir("0.001")).actions.count()
