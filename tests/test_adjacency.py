@@ -60,3 +60,16 @@ def test_null_values_are_kept(spark):
     expected = Counter([("a", 10, None), ("a", None, 30)])
     assert _pairs(consecutive_pairs(data, ranges=3, **args)) == expected
     assert _pairs(consecutive_pairs_by_window(data, **args)) == expected
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 4])
+def test_null_groups_and_null_order_keys(spark, ranges):
+    data = spark.createDataFrame(
+        [(None, 1, 1, 10), (None, 2, 2, 20), (None, None, 3, 30), ("a", None, 4, 40), ("a", 5, 5, 50),
+         ("a", 5, 6, 60), ("b", 1, 7, 70)],
+        "g string, t int, s int, v int",
+    )
+    args = dict(group=["g"], order=["t", "s"], value="v")
+    assert _pairs(consecutive_pairs(data, ranges=ranges, **args)) == _pairs(
+        consecutive_pairs_by_window(data, **args)
+    )
