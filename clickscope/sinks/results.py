@@ -1,6 +1,6 @@
 """Result tables: append each run's rows under one task id, read them back.
 
-The original wrote each result set to MySQL in one batch from the driver
+The original wrote each result set to a database in one batch from the driver
 and drew a fresh random id per row in two of its three writers.  Here one
 ``task_id`` names a whole run, rows are written by the executors in
 parallel, and a failed write raises instead of being printed and dropped.

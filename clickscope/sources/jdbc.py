@@ -1,4 +1,4 @@
-"""Read a table over JDBC (the original read its results back from MySQL)."""
+"""Read a table over JDBC (the original read its results back from a database)."""
 
 from __future__ import annotations
 
