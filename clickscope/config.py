@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
+from clickscope.constants import ID_LIST_SEPARATOR
+
 
 def _ints(values: Iterable[object] | str | None) -> tuple[int, ...]:
     if values is None:
         return ()
     if isinstance(values, str):
-        values = [v for v in values.split(",") if v.strip() != ""]
+        values = [v for v in values.split(ID_LIST_SEPARATOR) if v.strip() != ""]
     return tuple(int(str(v).strip()) for v in values)
 
 
@@ -24,7 +26,7 @@ def _strs(values: Iterable[object] | str | None) -> tuple[str, ...]:
     if values is None:
         return ()
     if isinstance(values, str):
-        values = [v for v in values.split(",") if v.strip() != ""]
+        values = [v for v in values.split(ID_LIST_SEPARATOR) if v.strip() != ""]
     return tuple(str(v).strip() for v in values)
 
 
@@ -78,20 +80,6 @@ class FilterSpec:
         flow = self.target_page_flow
         return tuple(zip(flow[:-1], flow[1:]))
 
-    @property
-    def jump_sources(self) -> tuple[int, ...]:
-        """Pages a counted jump can start from: the flow minus its last page."""
-        return self.target_page_flow[:-1]
-
-    @property
-    def has_user_filter(self) -> bool:
-        return (
-            self.start_age is not None
-            or self.end_age is not None
-            or bool(self.professionals)
-            or bool(self.genders)
-        )
-
     def with_flow(self, flow: Iterable[int] | str) -> FilterSpec:
         return replace(self, target_page_flow=_ints(flow))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clickscope.constants import ID_LIST_SEPARATOR
+
 
 def id_tokens_sql(column: str) -> str:
     """``"3,1,"`` -> ``["3", "1"]``: split on ``,`` and drop empty tokens.
@@ -13,7 +15,7 @@ def id_tokens_sql(column: str) -> str:
     ``String.split`` drops them, and an inner empty token (``"1,,2"``) would
     name no category; both are removed.  Null stays null.
     """
-    return f"filter(split({column}, ','), token -> token != '')"
+    return f"filter(split({column}, '{ID_LIST_SEPARATOR}'), token -> token != '')"
 
 
 def id_list_sql(column: str) -> str:

@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.constants import CLICK, NO_CLICK, ORDER, PAY
 from clickscope.functions.idlists import id_list_sql
 
-CLICK = "click"
-ORDER = "order"
-PAY = "pay"
-
-NO_CLICK = -1  # the fact table's "not a click" marker for click ids
-
 IS_CLICK_SQL = f"click_category_id != {NO_CLICK}"
 
 # F6-F8: the first that applies of click, order, pay (else null).  The kinds

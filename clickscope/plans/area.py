@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.config import FilterSpec
+from clickscope.constants import TOP_PRODUCTS
 from clickscope.functions.predicates import action_predicates, all_of
 from clickscope.operators.share import share_of_group
 from clickscope.operators.topk import top_k_per_group
 from clickscope.sources.tables import ClickstreamTables
 
-TOP_PRODUCTS = 3
-
 
 def _actions(tables: ClickstreamTables, spec: FilterSpec | None) -> DataFrame:
     # The original area job applies no filter; a spec may add one.

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickscope.constants import TOP_CATEGORIES, TOP_SESSIONS
 from clickscope.operators.behavior import behavior_rows, count_behaviors
 from clickscope.operators.topk import top_k, top_k_per_group
 
-TOP_CATEGORIES = 10
-TOP_SESSIONS = 10
-
 
 def category_order() -> list:
     """Clicks, then orders, then pays, all descending; then the id."""

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.config import FilterSpec
+from clickscope.constants import NO_CLICK, PAGE_FLOW_SEPARATOR
 from clickscope.functions.predicates import is_target_jump, page_in_flow
 from clickscope.operators.adjacency import consecutive_pairs
-from clickscope.operators.behavior import NO_CLICK
 
 # The order of actions inside a session: time, then the unique sequence
 # number (timestamps have one-second resolution and often tie).
@@ -70,7 +70,7 @@ def page_jump_rate(
     return joined.select(
         F.col("from_page_id"),
         F.col("to_page_id"),
-        F.concat_ws("-", F.col("from_page_id"), F.col("to_page_id")).alias("page_flow"),
+        F.concat_ws(PAGE_FLOW_SEPARATOR, F.col("from_page_id"), F.col("to_page_id")).alias("page_flow"),
         F.col("jump_count"),
         visit_count.alias("visit_count"),
         (F.col("jump_count").cast("double") / visit_count).alias("rate"),
