@@ -7,15 +7,15 @@ space is first cut into contiguous ranges, so a large group spreads over
 many tasks, and the pairs that cross a range boundary are stitched from a
 summary that has one row per (group, range):
 
-1. ``repartitionByRange(n, g, t...)``: range ``b`` holds a contiguous run
-   of the global order (g, t); a big group spans many ranges.
+1. ``repartitionByRange(g, t...)``: range ``b`` holds a contiguous run of
+   the global order (g, t); a big group spans many ranges.
 2. ``lead`` over ``(g, b)``: each window group is at most one range, so its
-   size is bounded by the data volume divided by ``n``.
+   size is bounded by one shuffle partition.
 3. per ``(g, b)``: the first and last value (partial aggregates on the
    partitioning the window already produced, no further shuffle).
 4. ``lead(first) over (partition by g order by b)``: last value of one
    range, first value of the next non-empty range of the same group.  This
-   window holds at most ``n`` rows per group.
+   window holds at most one row per range per group.
 
 Pairs from step 2 and step 4 together are exactly the pairs of the plain
 plan.  The range bounds are fixed when the shuffle is planned, so a task
@@ -29,8 +29,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.session import shuffle_partitions
-
 _BUCKET = "__range_bucket"
 _VALUE = "__value"
 
@@ -53,14 +51,20 @@ def consecutive_pairs(
     sequence column) so that "next" is well defined."""
     group = list(group)
     order = list(order)
-    n = ranges or shuffle_partitions(df.sparkSession)
     groups = [_q(c) for c in group]
     orders = ", ".join(_q(c) for c in order)
 
     keyed = df.select(*group, *order, F.col(value).alias(_VALUE))
-    ranged = keyed.repartitionByRange(n, *group, *order).withColumn(
-        _BUCKET, F.spark_partition_id()
-    )
+    if ranges:
+        ranged = keyed.repartitionByRange(ranges, *group, *order)
+    else:
+        # No fixed count: the shuffle starts from spark.sql.shuffle.partitions
+        # ranges and adaptive execution merges *adjacent* small ones up to
+        # the advisory size.  Merged ranges are still contiguous and in
+        # order, and a large range is never merged, so a hot group stays
+        # split while small data runs in few tasks.
+        ranged = keyed.repartitionByRange(*group, *order)
+    ranged = ranged.withColumn(_BUCKET, F.spark_partition_id())
 
     in_range = f"over (partition by {', '.join(groups + [_BUCKET])} order by {orders})"
     marked = ranged.selectExpr(

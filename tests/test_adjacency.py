@@ -73,3 +73,27 @@ def test_null_groups_and_null_order_keys(spark, ranges):
     assert _pairs(consecutive_pairs(data, ranges=ranges, **args)) == _pairs(
         consecutive_pairs_by_window(data, **args)
     )
+
+
+@pytest.mark.parametrize("advisory", ["1k", "64m"])
+def test_adaptive_ranges_match_window(spark, advisory):
+    # No fixed range count: adaptive execution sizes the ranges.  With a tiny
+    # advisory size the hot group spans many merged ranges; with the default
+    # everything may merge into one.  Both must give the plain window's pairs.
+    hot = spark.range(0, 4000).select(
+        F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 5) % 13).alias("v")
+    )
+    cold = spark.range(0, 500).select(
+        (F.col("id") % 40).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 3).alias("v")
+    )
+    data = hot.unionByName(cold)
+    args = dict(group=["g"], order=["t"], value="v")
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], advisory)
+        spark.conf.set(keys[1], "16")
+        assert _pairs(consecutive_pairs(data, **args)) == _pairs(consecutive_pairs_by_window(data, **args))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
