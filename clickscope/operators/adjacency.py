@@ -18,8 +18,10 @@ summary that has one row per (group, range):
    window holds at most one row per range per group.
 
 Pairs from step 2 and step 4 together are exactly the pairs of the plain
-plan.  The range bounds are fixed when the shuffle is planned, so a task
-re-run after a lost executor assigns every row to the same range.
+plan.  Steps 2 and 3 read the same shuffle output (Spark reuses the
+exchange), so they see the same range ids.  The range bounds are fixed
+when the shuffle is planned, so a task re-run after a lost executor
+assigns every row to the same range.
 """
 
 from __future__ import annotations
