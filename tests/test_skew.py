@@ -82,3 +82,20 @@ def test_jump_direction_on_driver_data(spark):
     actions = plans.filtered_actions(from_driver_tables(spark, sf_dir("0.01")), DRIVER_SPEC)
     jumps = {(r.from_page_id, r.to_page_id): r.jump_count for r in plans.page_jump_counts(actions, DRIVER_SPEC).collect()}
     assert jumps[(1, 2)] == 18
+
+
+def test_large_user_table_gets_a_runtime_bloom_filter(spark):
+    # When users are too many to broadcast, the semi join is sort-merge and
+    # Spark first trims the fact side with a bloom filter of qualifying users.
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    tables = from_driver_tables(spark, sf_dir("0.01"))
+    with conf(spark, settings):
+        df = plans.category_top10(plans.filtered_actions(tables, DRIVER_SPEC))
+        rows = sorted(df.collect())
+        text = df._jdf.queryExecution().executedPlan().toString()
+    assert "might_contain" in text and "SortMergeJoin" in text
+    assert rows == sorted(plans.category_top10(plans.filtered_actions(tables, DRIVER_SPEC)).collect())
