@@ -99,3 +99,22 @@ def test_large_user_table_gets_a_runtime_bloom_filter(spark):
         text = df._jdf.queryExecution().executedPlan().toString()
     assert "might_contain" in text and "SortMergeJoin" in text
     assert rows == sorted(plans.category_top10(plans.filtered_actions(tables, DRIVER_SPEC)).collect())
+
+
+def test_hot_product_is_split_in_the_row_level_area_join(spark):
+    t = from_driver_tables(spark, sf_dir("0.01"))
+    hot = t.actions.withColumn(
+        "click_product_id",
+        F.when((F.col("click_product_id") != -1) & (F.col("action_seq") % 3 == 0), F.lit(5)).otherwise(
+            F.col("click_product_id")
+        ),
+    )
+    tables = ClickstreamTables(hot, t.users, t.products, t.cities)
+    expected = sorted(plans.area_product_city_rows(tables).groupBy("product_id").count().collect())
+    with conf(spark, SKEW_CONF):
+        df = plans.area_product_city_rows(tables)
+        got = sorted(df.groupBy("product_id").count().collect())
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    assert got == expected
+    assert "SortMergeJoin(skew=true)" in text
