@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--start-age")
     p.add_argument("--end-age")
     p.add_argument("--flow", default="", help="target page flow, e.g. 1,2,3,4,5,6,7")
+    p.add_argument("--conditions", help="properties file with the job parameters (overrides the flags above)")
     p.add_argument("--output", help="area-top3: write the result as parquet here")
     p.add_argument("--show", type=int, default=20, help="rows to print of each result")
     p.add_argument("--master", help="local runs only, e.g. local[8]")
@@ -67,13 +68,17 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
     tables = _tables(spark, args)
-    spec = FilterSpec(
-        start_date=args.start_date,
-        end_date=args.end_date,
-        start_age=args.start_age,
-        end_age=args.end_age,
-        target_page_flow=args.flow,
-    )
+    if args.conditions:
+        with open(args.conditions, encoding="utf-8") as handle:
+            spec = FilterSpec.from_properties(handle.read())
+    else:
+        spec = FilterSpec(
+            start_date=args.start_date,
+            end_date=args.end_date,
+            start_age=args.start_age,
+            end_age=args.end_age,
+            target_page_flow=args.flow,
+        )
 
     if args.app == "area-top3":
         result = apps.run_area_top3(tables)

@@ -8,10 +8,11 @@ tested without touching any file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
-from clickscope.constants import ID_LIST_SEPARATOR
+from clickscope.constants import ID_LIST_SEPARATOR, PARAMS_KEY
 
 
 def _ints(values: Iterable[object] | str | None) -> tuple[int, ...]:
@@ -99,6 +100,23 @@ class FilterSpec:
             category_ids=params.get("categoryIds") or (),
         )
 
+    @classmethod
+    def from_properties(cls, text: str, key: str = PARAMS_KEY) -> FilterSpec:
+        """Build from a properties file's parameter line, e.g.
+
+        ``condition.params.json={startDate:"2018-11-01", endAge: "50", ...}``
+
+        The value is JSON with unquoted keys, possibly continued over lines
+        ending in ``\\``; only ``name: "text"`` pairs occur in it.
+        """
+        joined = re.sub(r"\\\s*\n", " ", text)
+        for line in joined.splitlines():
+            name, sep, value = line.partition("=")
+            if sep and name.strip() == key:
+                pairs = dict(re.findall(r'(\w+)\s*:\s*"([^"]*)"', value))
+                return cls.from_mapping(pairs)
+        raise ValueError(f"no {key} line in the properties text")
+
 
 # The parameters of the original job configuration.
 REFERENCE_SPEC = FilterSpec(

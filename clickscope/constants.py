@@ -12,3 +12,4 @@ ORDER = "order"
 PAY = "pay"
 DATE_FORMAT = "yyyy-MM-dd"  # the action table's date column
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"  # the action table's action_time column
+PARAMS_KEY = "condition.params.json"  # properties key holding the job parameters

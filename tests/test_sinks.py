@@ -85,3 +85,21 @@ def test_cli_runs_all_apps(spark, capsys):
     assert store.read(spark, "category_top10", "cli-run").count() == 10
     assert store.read(spark, "page_jump_rate", "cli-run").count() == 3
     assert main(["area-top3", "--driver-dir", sf_dir("0.001"), "--show", "1"]) == 0
+
+
+def test_cli_reads_a_conditions_file(spark):
+    from clickscope.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="clickscope-cli-")
+    conditions = f"{root}/conditions.properties"
+    with open(conditions, "w", encoding="utf-8") as handle:
+        handle.write(
+            'condition.params.json={startDate:"2024-01-03", endDate:"2024-01-28", '
+            'startAge: "20", endAge: "50", targetPageFlow:"1,2,3,4,5,6,7"}\n'
+        )
+    code = main([
+        "page-jump-rate", "--driver-dir", sf_dir("0.001"), "--results", f"{root}/results",
+        "--conditions", conditions, "--task-id", "from-file", "--show", "1",
+    ])
+    assert code == 0
+    assert ResultStore(f"{root}/results").read(spark, "page_jump_rate", "from-file").count() == 3
