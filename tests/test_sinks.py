@@ -103,3 +103,15 @@ def test_cli_reads_a_conditions_file(spark):
     ])
     assert code == 0
     assert ResultStore(f"{root}/results").read(spark, "page_jump_rate", "from-file").count() == 3
+
+
+def test_jdbc_write_failure_raises(spark, golden):
+    # No database is started: a URL no driver accepts must fail the write
+    # loudly instead of being logged and dropped.
+    import pytest
+
+    from clickscope.sinks import JdbcResultStore
+
+    store = JdbcResultStore("jdbc:clickscope-no-such-driver://nowhere/db")
+    with pytest.raises(Exception):
+        store.append("category_top10", golden.cities, "run")
