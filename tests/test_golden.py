@@ -152,3 +152,17 @@ def test_optional_filters(golden):
     assert seqs == [5, 6, 7, 8]
     spec = replace(G.SPEC, keywords=("phone",))
     assert [r.action_seq for r in plans.filtered_actions(golden, spec).collect()] == [3]
+
+
+def test_empty_spec_and_empty_flow(golden):
+    from clickscope.config import FilterSpec
+
+    spec = FilterSpec()
+    actions = plans.filtered_actions(golden, spec)
+    assert plans.page_jump_rate(actions, spec).count() == 0
+    assert plans.page_visit_counts(actions, spec).count() == 0
+    assert plans.category_top10(actions).count() == 4
+    single = FilterSpec(target_page_flow="1")
+    assert plans.page_jump_counts(actions, single).count() == 0
+    # page 1 under no bounds: seq 1, 5, 7, 9, 10, 11, 12, 13, 15
+    assert [tuple(r) for r in plans.page_visit_counts(actions, single).collect()] == [(1, 9)]
