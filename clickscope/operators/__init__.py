@@ -1,6 +1,10 @@
 """Reusable operators the jobs are composed of."""
 
-from clickscope.operators.adjacency import consecutive_pairs, consecutive_pairs_by_window
+from clickscope.operators.adjacency import (
+    consecutive_pairs,
+    consecutive_pairs_by_window,
+    count_consecutive_pairs,
+)
 from clickscope.operators.behavior import (
     CLICK,
     ORDER,
@@ -25,6 +29,7 @@ __all__ = [
     "consecutive_pairs",
     "consecutive_pairs_by_window",
     "count_behaviors",
+    "count_consecutive_pairs",
     "is_click",
     "restrict_to_keys",
     "share_of_group",

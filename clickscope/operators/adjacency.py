@@ -18,15 +18,17 @@ summary that has one row per (group, range):
    window holds at most one row per range per group.
 
 Pairs from step 2 and step 4 together are exactly the pairs of the plain
-plan.  Steps 2 and 3 read the same shuffle output (Spark reuses the
-exchange), so they see the same range ids.  The range bounds are fixed
+plan.  In :func:`consecutive_pairs` steps 2 and 3 read the same shuffle
+output (Spark reuses the exchange), so they see the same range ids;
+:func:`count_consecutive_pairs` does steps 2 and 3 in one pass and passes on
+only a small aggregate.  The range bounds are fixed
 when the shuffle is planned, so a task re-run after a lost executor
 assigns every row to the same range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,23 +41,12 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def consecutive_pairs(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    from_col: str = "from_value",
-    to_col: str = "to_value",
-    ranges: int | None = None,
+def _marked(
+    df: DataFrame, group: list[str], order: list[str], value: str, ranges: int | None
 ) -> DataFrame:
-    """Rows ``(*group, from_col, to_col)``: each value and the next one of
-    its group in ``order``.  ``order`` must be unique within a group (add a
-    sequence column) so that "next" is well defined."""
-    group = list(group)
-    order = list(order)
+    """Steps 1-2: rows tagged with their range, next value and range ends."""
     groups = [_q(c) for c in group]
     orders = ", ".join(_q(c) for c in order)
-
     keyed = df.select(*group, *order, F.col(value).alias(_VALUE))
     if ranges:
         ranged = keyed.repartitionByRange(ranges, *group, *order)
@@ -67,9 +58,8 @@ def consecutive_pairs(
         # split while small data runs in few tasks.
         ranged = keyed.repartitionByRange(*group, *order)
     ranged = ranged.withColumn(_BUCKET, F.spark_partition_id())
-
     in_range = f"over (partition by {', '.join(groups + [_BUCKET])} order by {orders})"
-    marked = ranged.selectExpr(
+    return ranged.selectExpr(
         *groups,
         _BUCKET,
         _VALUE,
@@ -78,10 +68,37 @@ def consecutive_pairs(
         f"lag(1) {in_range} is null as __is_first",
     )
 
+
+def _stitched(ends: DataFrame, group: list[str]) -> DataFrame:
+    """Step 4: (group, __from, __to) across consecutive non-empty ranges."""
+    groups = [_q(c) for c in group]
+    across_ranges = f"over (partition by {', '.join(groups)} order by {_BUCKET})"
+    return (
+        ends.selectExpr(*groups, "__last.v as __from", f"lead(__first) {across_ranges} as __next_first")
+        .where("__next_first is not null")
+        .selectExpr(*groups, "__from", "__next_first.v as __to")
+    )
+
+
+def consecutive_pairs(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    from_col: str = "from_value",
+    to_col: str = "to_value",
+    ranges: int | None = None,
+) -> DataFrame:
+    """Rows ``(*group, from_col, to_col)``: each value and the next one of
+    its group in ``order``.  ``order`` must be unique within a group (add a
+    sequence column) so that "next" is well defined."""
+    group = list(group)
+    groups = [_q(c) for c in group]
+    marked = _marked(df, group, list(order), value, ranges)
+
     inside = marked.where("__has_next").selectExpr(
         *groups, f"{_VALUE} as {_q(from_col)}", f"__next as {_q(to_col)}"
     )
-
     # One row per (group, range): its first and last value.  Wrapped in a
     # struct so a null value still marks its row.
     ends = (
@@ -92,15 +109,80 @@ def consecutive_pairs(
             F.expr(f"max(case when not __has_next then named_struct('v', {_VALUE}) end) as __last"),
         )
     )
-    across_ranges = f"over (partition by {', '.join(groups)} order by {_BUCKET})"
-    stitched = (
-        ends.selectExpr(*groups, "__last.v as __from", f"lead(__first) {across_ranges} as __next_first")
-        .where("__next_first is not null")
-        .selectExpr(*groups, f"__from as {_q(from_col)}", f"__next_first.v as {_q(to_col)}")
+    stitched = _stitched(ends, group).selectExpr(
+        *groups, f"__from as {_q(from_col)}", f"__to as {_q(to_col)}"
     )
     return inside.unionByName(stitched)
 
 
+def count_consecutive_pairs(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    keep: Callable[[str, str], Column] | None = None,
+    from_col: str = "from_value",
+    to_col: str = "to_value",
+    count_col: str = "pair_count",
+    ranges: int | None = None,
+) -> DataFrame:
+    """``(from_col, to_col, count_col)``: how often a value is followed by
+    another inside a group, for the pairs ``keep(from, to)`` accepts.
+
+    Same steps as :func:`consecutive_pairs`, but the window's output is read
+    once: in the window's own stage each pair row is counted by
+    ``(from, to)`` and each range end folded into its ``(group, range)``
+    row, all in one partial aggregate.  What leaves the stage is that small
+    aggregate (pair counts per task plus one row per group and range), not
+    a second pass over every row.
+    """
+    group = list(group)
+    groups = [_q(c) for c in group]
+    marked = _marked(df, group, list(order), value, ranges)
+
+    # kind 0: a pair inside a range; kind 1 / 2: the first / last row of a range
+    tagged = marked.selectExpr(
+        *groups,
+        _BUCKET,
+        "inline(filter(array("
+        f"if(__has_next, named_struct('__kind', 0, '__v', {_VALUE}, '__w', __next), null), "
+        f"if(__is_first, named_struct('__kind', 1, '__v', {_VALUE}, '__w', __next), null), "
+        f"if(not __has_next, named_struct('__kind', 2, '__v', {_VALUE}, '__w', __next), null)"
+        "), x -> x is not null))",
+    )
+    if keep is not None:
+        tagged = tagged.where((F.col("__kind") != 0) | keep("__v", "__w"))
+
+    # Pairs are keyed by (from, to) alone; range ends by (group, range).
+    is_pair = "__kind = 0"
+    folded = tagged.groupBy(
+        F.expr(is_pair).alias("__is_pair"),
+        *[F.expr(f"if({is_pair}, null, {c})").alias(f"__g{i}") for i, c in enumerate(groups)],
+        F.expr(f"if({is_pair}, null, {_BUCKET})").alias(_BUCKET),
+        F.expr(f"if({is_pair}, __v, null)").alias("__from"),
+        F.expr(f"if({is_pair}, __w, null)").alias("__to"),
+    ).agg(
+        F.expr("count(1) as __n"),
+        F.expr("max(if(__kind = 1, named_struct('v', __v), null)) as __first"),
+        F.expr("max(if(__kind = 2, named_struct('v', __v), null)) as __last"),
+    )
+
+    inside = folded.where("__is_pair").selectExpr("__from", "__to", "__n")
+    ends = folded.where("not __is_pair").selectExpr(
+        *[f"__g{i} as {c}" for i, c in enumerate(groups)], _BUCKET, "__first", "__last"
+    )
+    stitched = _stitched(ends, group)
+    if keep is not None:
+        stitched = stitched.where(keep("__from", "__to"))
+    across = stitched.groupBy("__from", "__to").agg(F.count(F.lit(1)).alias("__n"))
+    return (
+        inside.unionByName(across)
+        .groupBy("__from", "__to")
+        .agg(F.sum("__n").cast("bigint").alias(count_col))
+        .selectExpr(f"__from as {_q(from_col)}", f"__to as {_q(to_col)}", _q(count_col))
+    )
+
+
 def consecutive_pairs_by_window(
     df: DataFrame,
     group: Sequence[str],

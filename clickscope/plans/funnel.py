@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickscope.config import FilterSpec
 from clickscope.constants import NO_CLICK, PAGE_FLOW_SEPARATOR
 from clickscope.functions.predicates import is_target_jump, page_in_flow
-from clickscope.operators.adjacency import consecutive_pairs
+from clickscope.operators.adjacency import count_consecutive_pairs
 
 # The order of actions inside a session: time, then the unique sequence
 # number (timestamps have one-second resolution and often tie).
@@ -24,24 +24,22 @@ def page_jump_counts(
     The next click is found among *all* product clicks of the session in
     time order; only then are pairs cut to the flow's steps, so no
     adjacency is invented by dropping pages in between.  Pairs are counted
-    with a partial aggregate, so the wire carries at most one row per step
-    per task.
+    in the window's own stage with a partial aggregate, so the wire carries
+    at most one row per step per task (plus one row per session and range
+    for the pairs that cross a range boundary).
     """
     clicks = actions.where(F.col("click_product_id") != F.lit(NO_CLICK))
-    pairs = consecutive_pairs(
+    return count_consecutive_pairs(
         clicks,
         group=["session_id"],
         order=list(SESSION_ORDER),
         value="page_id",
+        keep=lambda from_col, to_col: is_target_jump(spec, from_col, to_col),
         from_col="from_page_id",
         to_col="to_page_id",
+        count_col="jump_count",
         ranges=ranges,
     )
-    return (
-        pairs.where(is_target_jump(spec, "from_page_id", "to_page_id"))
-        .groupBy("from_page_id", "to_page_id")
-        .agg(F.count(F.lit(1)).alias("jump_count"))
-    )
 
 
 def page_visit_counts(actions: DataFrame, spec: FilterSpec) -> DataFrame:

@@ -7,7 +7,11 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from clickscope.operators.adjacency import consecutive_pairs, consecutive_pairs_by_window
+from clickscope.operators.adjacency import (
+    consecutive_pairs,
+    consecutive_pairs_by_window,
+    count_consecutive_pairs,
+)
 from clickscope.sources.adapter import from_driver_tables
 from tests.conftest import sf_dir
 
@@ -97,3 +101,53 @@ def test_adaptive_ranges_match_window(spark, advisory):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def _brute_counts(df, keep=None, **args):
+    pairs = consecutive_pairs_by_window(df, **args).collect()
+    out = Counter()
+    for r in pairs:
+        f, t = r[-2], r[-1]
+        out[(f, t)] += 1
+    return {k: v for k, v in out.items() if keep is None or keep(*k)}
+
+
+def _counts(df):
+    return {(r[0], r[1]): r[2] for r in df.collect()}
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 3, 16])
+def test_counts_match_brute_force_on_driver_clicks(spark, ranges):
+    actions = from_driver_tables(spark, sf_dir("0.01")).actions.where("click_product_id != -1")
+    args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id")
+    got = _counts(count_consecutive_pairs(actions, ranges=ranges, **args))
+    assert got == _brute_counts(actions, **args)
+
+
+@pytest.mark.parametrize("ranges", [2, 7])
+def test_counts_with_keep_on_a_hot_group(spark, ranges):
+    hot = spark.range(0, 3000).select(
+        F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 7) % 5).alias("v")
+    )
+    cold = spark.range(0, 400).select(
+        (F.col("id") % 30).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 4).alias("v")
+    )
+    data = hot.unionByName(cold)
+    args = dict(group=["g"], order=["t"], value="v")
+    keep_py = lambda f, t: (f, t) in {(1, 3), (3, 0), (2, 2)}
+    keep_col = lambda f, t: F.expr(
+        f"(`{f}` = 1 and `{t}` = 3) or (`{f}` = 3 and `{t}` = 0) or (`{f}` = 2 and `{t}` = 2)"
+    )
+    got = _counts(count_consecutive_pairs(data, keep=keep_col, ranges=ranges, **args))
+    assert got == _brute_counts(data, keep=keep_py, **args)
+    assert got  # the kept pairs do occur
+
+
+def test_counts_with_null_values_and_groups(spark):
+    data = spark.createDataFrame(
+        [(None, 1, 1), (None, 2, None), (None, 3, 1), ("a", 1, None), ("a", 2, None), ("b", 1, 5)],
+        "g string, t int, v int",
+    )
+    args = dict(group=["g"], order=["t"], value="v")
+    for ranges in (1, 3):
+        assert _counts(count_consecutive_pairs(data, ranges=ranges, **args)) == _brute_counts(data, **args)
