@@ -38,6 +38,19 @@ def _blank_to_none(value: object) -> str | None:
     return text or None
 
 
+_ISO_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
+
+
+def _iso_date(value: object) -> str | None:
+    """A date bound as ``yyyy-MM-dd``: the fact table's date column is that
+    text, so bounds compare as strings and any other spelling would filter
+    silently wrong."""
+    text = _blank_to_none(value)
+    if text is not None and not _ISO_DATE.fullmatch(text):
+        raise ValueError(f"date bound {text!r} is not yyyy-MM-dd")
+    return text
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """Which actions a job looks at, and which page flow it follows.
@@ -63,8 +76,8 @@ class FilterSpec:
     category_ids: tuple[int, ...] = field(default=())
 
     def __post_init__(self) -> None:
-        object.__setattr__(self, "start_date", _blank_to_none(self.start_date))
-        object.__setattr__(self, "end_date", _blank_to_none(self.end_date))
+        object.__setattr__(self, "start_date", _iso_date(self.start_date))
+        object.__setattr__(self, "end_date", _iso_date(self.end_date))
         for name in ("start_age", "end_age"):
             value = _blank_to_none(getattr(self, name))
             object.__setattr__(self, name, None if value is None else int(value))
