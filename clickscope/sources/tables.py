@@ -88,11 +88,13 @@ def write_parquet_tables(
     contiguous slice of dates (few files per date), and a date holding a
     third of all actions is spread over many tasks instead of one.
     """
-    spark = tables.actions.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    actions = tables.actions.repartitionByRange(
-        n, "date", "session_id", "action_time", "action_seq"
-    )
+    keys = ("date", "session_id", "action_time", "action_seq")
+    if files:
+        actions = tables.actions.repartitionByRange(files, *keys)
+    else:
+        # adaptive execution merges adjacent small ranges up to the advisory
+        # partition size, so file sizes follow the data
+        actions = tables.actions.repartitionByRange(*keys)
     actions.write.mode(mode).partitionBy("date").parquet(f"{root}/user_visit_action")
     tables.users.write.mode(mode).parquet(f"{root}/user_info")
     tables.products.write.mode(mode).parquet(f"{root}/product_info")
