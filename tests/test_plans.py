@@ -55,3 +55,11 @@ def test_area_counts_before_joining_dimensions(spark):
     agg = text.index("HashAggregate(keys=[city_id")
     join = text.index("Join")
     assert agg > join  # printed top-down: deeper operators come later
+
+
+def test_jump_counts_window_the_clicks_once(plans_text):
+    # the range-split window over every click runs once; only a small
+    # aggregate of pair counts and range ends leaves its stage
+    for name in ("page_jump_counts", "page_jump_rate"):
+        assert plans_text[name].count("Window [lead(__value") == 1, name
+        assert "rangepartitioning(session_id" in plans_text[name], name
