@@ -129,12 +129,12 @@ def count_consecutive_pairs(
     """``(from_col, to_col, count_col)``: how often a value is followed by
     another inside a group, for the pairs ``keep(from, to)`` accepts.
 
-    Same steps as :func:`consecutive_pairs`, but the window's output is read
-    once: in the window's own stage each pair row is counted by
-    ``(from, to)`` and each range end folded into its ``(group, range)``
-    row, all in one partial aggregate.  What leaves the stage is that small
-    aggregate (pair counts per task plus one row per group and range), not
-    a second pass over every row.
+    Same steps as :func:`consecutive_pairs`, but the window over every row
+    runs once: in its own stage each pair row is counted by ``(from, to)``
+    and each range end folded into its ``(group, range)`` row, all in one
+    partial aggregate.  What leaves the stage is that small aggregate (pair
+    counts per task plus one row per group and range), and the stitching
+    reads it once.
     """
     group = list(group)
     groups = [_q(c) for c in group]
@@ -167,19 +167,32 @@ def count_consecutive_pairs(
         F.expr("max(if(__kind = 2, named_struct('v', __v), null)) as __last"),
     )
 
-    inside = folded.where("__is_pair").selectExpr("__from", "__to", "__n")
-    ends = folded.where("not __is_pair").selectExpr(
-        *[f"__g{i} as {c}" for i, c in enumerate(groups)], _BUCKET, "__first", "__last"
+    # One reader of the fold.  A window partitioned by (is_pair, group,
+    # from, to) puts all range ends of a group in one partition, ordered by
+    # range, and every pair count in a partition of its own; one projection
+    # then yields (from, to, n) for both.  (Two readers filtering the fold
+    # would each get their own copy of the aggregate after column pruning,
+    # and with it a second pass over the window.)
+    folded_groups = [f"__g{i}" for i in range(len(groups))]
+    across = f"over (partition by __is_pair, {', '.join(folded_groups + ['__from', '__to'])} order by {_BUCKET})"
+    counted = (
+        folded.selectExpr(
+            "__is_pair", "__from", "__to", "__n", "__last", f"lead(__first) {across} as __next_first"
+        )
+        .where("__is_pair or __next_first is not null")
+        .selectExpr(
+            "__is_pair",
+            "if(__is_pair, __from, __last.v) as __a",
+            "if(__is_pair, __to, __next_first.v) as __b",
+            "if(__is_pair, __n, 1) as __n",
+        )
     )
-    stitched = _stitched(ends, group)
     if keep is not None:
-        stitched = stitched.where(keep("__from", "__to"))
-    across = stitched.groupBy("__from", "__to").agg(F.count(F.lit(1)).alias("__n"))
+        counted = counted.where(F.col("__is_pair") | keep("__a", "__b"))
     return (
-        inside.unionByName(across)
-        .groupBy("__from", "__to")
+        counted.groupBy("__a", "__b")
         .agg(F.sum("__n").cast("bigint").alias(count_col))
-        .selectExpr(f"__from as {_q(from_col)}", f"__to as {_q(to_col)}", _q(count_col))
+        .selectExpr(f"__a as {_q(from_col)}", f"__b as {_q(to_col)}", _q(count_col))
     )
 
 
