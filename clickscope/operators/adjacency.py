@@ -133,8 +133,8 @@ def count_consecutive_pairs(
     runs once: in its own stage each pair row is counted by ``(from, to)``
     and each range end folded into its ``(group, range)`` row, all in one
     partial aggregate.  What leaves the stage is that small aggregate (pair
-    counts per task plus one row per group and range), and the stitching
-    reads it once.
+    counts per task, and per group a list of its range ends), and the pairs
+    across ranges are read off each group's sorted list.
     """
     group = list(group)
     groups = [_q(c) for c in group]
@@ -153,42 +153,40 @@ def count_consecutive_pairs(
     if keep is not None:
         tagged = tagged.where((F.col("__kind") != 0) | keep("__v", "__w"))
 
-    # Pairs are keyed by (from, to) alone; range ends by (group, range).
+    # One aggregate folds both kinds of row: pairs by (from, to), range ends
+    # by group into a list of (range, kind, value) entries.  A group's list
+    # holds two entries per range it spans, so even a hot group's list is
+    # bounded by the number of ranges, not by its rows.
     is_pair = "__kind = 0"
     folded = tagged.groupBy(
         F.expr(is_pair).alias("__is_pair"),
         *[F.expr(f"if({is_pair}, null, {c})").alias(f"__g{i}") for i, c in enumerate(groups)],
-        F.expr(f"if({is_pair}, null, {_BUCKET})").alias(_BUCKET),
         F.expr(f"if({is_pair}, __v, null)").alias("__from"),
         F.expr(f"if({is_pair}, __w, null)").alias("__to"),
     ).agg(
         F.expr("count(1) as __n"),
-        F.expr("max(if(__kind = 1, named_struct('v', __v), null)) as __first"),
-        F.expr("max(if(__kind = 2, named_struct('v', __v), null)) as __last"),
+        F.expr(
+            f"collect_list(if({is_pair}, null, "
+            f"named_struct('b', {_BUCKET}, 'k', __kind, 'v', __v))) as __ends"
+        ),
     )
 
-    # One reader of the fold.  A window partitioned by (is_pair, group,
-    # from, to) puts all range ends of a group in one partition, ordered by
-    # range, and every pair count in a partition of its own; one projection
-    # then yields (from, to, n) for both.  (Two readers filtering the fold
-    # would each get their own copy of the aggregate after column pruning,
-    # and with it a second pass over the window.)
-    folded_groups = [f"__g{i}" for i in range(len(groups))]
-    across = f"over (partition by __is_pair, {', '.join(folded_groups + ['__from', '__to'])} order by {_BUCKET})"
-    counted = (
-        folded.selectExpr(
-            "__is_pair", "__from", "__to", "__n", "__last", f"lead(__first) {across} as __next_first"
-        )
-        .where("__is_pair or __next_first is not null")
-        .selectExpr(
-            "__is_pair",
-            "if(__is_pair, __from, __last.v) as __a",
-            "if(__is_pair, __to, __next_first.v) as __b",
-            "if(__is_pair, __n, 1) as __n",
-        )
+    # Sorted by (range, kind) a group's entries run first, last, first,
+    # last, ...; the pairs across ranges are (last of one, first of next):
+    # entries (1, 2), (3, 4), ... (0-based).
+    across = (
+        "if(size(__ends) > 2, transform(sequence(1, size(__ends) div 2 - 1), "
+        "i -> named_struct('a', __ends[2 * i - 1].v, 'b', __ends[2 * i].v, "
+        "'n', cast(1 as bigint))), array())"
+    )
+    counted = folded.selectExpr(
+        "__is_pair", "__from", "__to", "__n", "array_sort(__ends) as __ends"
+    ).selectExpr(
+        "inline(if(__is_pair, array(named_struct('a', __from, 'b', __to, 'n', __n)), "
+        f"{across})) as (__a, __b, __n)"
     )
     if keep is not None:
-        counted = counted.where(F.col("__is_pair") | keep("__a", "__b"))
+        counted = counted.where(keep("__a", "__b"))
     return (
         counted.groupBy("__a", "__b")
         .agg(F.sum("__n").cast("bigint").alias(count_col))
