@@ -19,12 +19,13 @@ summary that has one row per (group, range):
 
 Pairs from step 2 and step 4 together are exactly the pairs of the plain
 plan.  In :func:`consecutive_pairs` steps 2 and 3 read the same shuffle
-output (Spark reuses the exchange), so they see the same range ids;
+output (Spark reuses the exchange), so they see the same range ids.
 :func:`count_consecutive_pairs` does steps 2 and 3 in one pass, gathers each
 group's range ends into a list (two entries per range, so bounded by the
-range count) and reads step 4 off the sorted list, without a window.  The range bounds are fixed
-when the shuffle is planned, so a task re-run after a lost executor
-assigns every row to the same range.
+range count) and reads step 4 off the sorted list, without a window.
+
+The range bounds are fixed when the shuffle is planned, so a task re-run
+after a lost executor assigns every row to the same range.
 """
 
 from __future__ import annotations
