@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickscope import schemas
+from clickscope.constants import DATE_FORMAT, TIME_FORMAT
 from clickscope.sources.tables import ClickstreamTables
 
 # Schemas of the driver's tables that the adapter reads.
@@ -52,17 +53,18 @@ _EVENT_BASE = (
     "event_type",
     "cast(get_json_object(props, '$.k') as bigint) as k",
     # "yyyy-MM-dd HH:mm:ss[.ffffff]" of a timestamp without time zone: its
-    # first 19 / 10 characters are the second-resolution time and the date.
+    # first len(TIME_FORMAT) / len(DATE_FORMAT) characters are the
+    # second-resolution time and the date.
     "cast(ts as string) as ts_text",
 )
 
 _ACTION_COLUMNS = (
-    "substring(ts_text, 1, 10) as date",
+    f"substring(ts_text, 1, {len(DATE_FORMAT)}) as date",
     "user_id",
     "concat(cast(user_id as string), '-', cast(floor((dayofmonth(ts) - 1) / 5) as string))"
     " as session_id",
     "k % 10 + 1 as page_id",
-    "substring(ts_text, 1, 19) as action_time",
+    f"substring(ts_text, 1, {len(TIME_FORMAT)}) as action_time",
     "case when event_type = 'error' then concat('kw_', cast(k % 6 as string)) end"
     " as search_keyword",
     "case when event_type in ('click', 'view') then (event_id % 23) % 20 + 1 else -1 end"
