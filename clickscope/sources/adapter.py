@@ -5,8 +5,8 @@ clickstream.  The mapping below turns them into the clickstream shape with
 integer arithmetic only, so Spark and an independent SQL engine derive
 identical rows (``__spark_entry__.oracle_sql`` holds the SQL twin).  Every
 column is a projection of one input row, so the derivation runs wherever
-the input splits are; the only shuffle is the spread of an input that has
-fewer splits than cores (``spread_small_input``).
+the input splits are; the only shuffle is the spread of an input read in a
+single task (``spread_small_input``).
 
 Mapping (``k`` is the integer ``props.k`` of an event):
 
@@ -86,18 +86,18 @@ _ACTION_COLUMNS = (
 
 
 def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input that arrives in fewer splits than there are cores.
+    """Hash-spread an input that the scan reads in a single task.
 
     The driver's files hold a single row group each, so their scan is one
     task however many cores there are.  Hashing on a unique key spreads the
     per-row derivation over all cores, deterministically (a re-run task
-    gets the same rows).  A large input already has at least as many
-    splits as cores and is left as it is, without a shuffle.
+    gets the same rows).  An input of several splits is left as it is: it
+    already runs in parallel, and on a large cluster a full shuffle to add
+    more parallelism to a cheap projection would cost more than it saves.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() > 1:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def actions_from_events(events: DataFrame) -> DataFrame:
