@@ -83,3 +83,14 @@ def test_sessions_prepare_independently(spark):
     second = driver_tables(other, sf_dir("0.001")).actions
     # the second preparation must not disturb what the first session reads
     assert first.count() == second.count() == driver_tables(spark, sf_dir("0.001")).actions.count()
+
+
+def test_spread_only_single_split_inputs(spark):
+    from clickscope.sources.adapter import spread_small_input
+
+    single = spark.read.parquet(f"{sf_dir('0.01')}/events.parquet")
+    assert single.rdd.getNumPartitions() == 1
+    spread = spread_small_input(single, "event_id")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    several = spark.range(0, 1000, 1, 3)
+    assert spread_small_input(several, "id") is several
