@@ -1,7 +1,8 @@
 """Run each registered query in Spark and its oracle SQL in DuckDB, compare.
 
 Usable as a script: ``python tests/oracle_check.py /root/testdata/sf0.01``.
-Comparison is order-insensitive over rows, with columns matched by name.
+Comparison is order-insensitive over rows, with columns matched by name;
+doubles must be equal bit for bit.
 """
 
 from __future__ import annotations
@@ -36,9 +37,8 @@ def _norm(value):
     if value is None:
         return None
     if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return round(value, 9)
+        # exact: Spark and DuckDB must produce the same double, bit for bit
+        return "nan" if math.isnan(value) else value.hex()
     if hasattr(value, "item"):
         return _norm(value.item())
     return value
