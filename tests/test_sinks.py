@@ -115,3 +115,16 @@ def test_jdbc_write_failure_raises(spark, golden):
     store = JdbcResultStore("jdbc:clickscope-no-such-driver://nowhere/db")
     with pytest.raises(Exception):
         store.append("category_top10", golden.cities, "run")
+
+
+def test_publish_to_catalog_and_read_back_by_name(spark, golden):
+    from clickscope.config import REFERENCE_SPEC
+    from clickscope.sources import read_catalog_tables
+    from tests import golden as G
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS clickscope_testdb")
+    for name, df in golden.as_dict().items():
+        publish_table(df, f"clickscope_testdb.{name}")
+    tables = read_catalog_tables(spark, "clickscope_testdb")
+    rows = plans.category_top10(plans.filtered_actions(tables, REFERENCE_SPEC)).collect()
+    assert [tuple(r) for r in rows] == G.TOP10
