@@ -61,7 +61,10 @@ class FilterSpec:
 
     ``professionals``, ``genders``, ``city_ids``, ``keywords`` and
     ``category_ids`` were declared in the original configuration but never
-    applied.  They are honoured here as ``isin`` filters; empty means none.
+    applied.  They are honoured here as ``isin`` filters, empty meaning
+    none: professionals and genders on the user's ``professional`` /
+    ``gender``, city ids on the action's ``city_id``, keywords on its
+    ``search_keyword`` and category ids on its ``click_category_id``.
     """
 
     start_date: str | None = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.constants import TOP_CATEGORIES, TOP_SESSIONS
@@ -10,7 +10,7 @@ from clickscope.operators.behavior import behavior_rows, count_behaviors
 from clickscope.operators.topk import top_k, top_k_per_group
 
 
-def category_order() -> list:
+def category_order() -> list[Column]:
     """Clicks, then orders, then pays, all descending; then the id."""
     return [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id")]
 
