@@ -132,7 +132,7 @@ def write_records(docs: DataFrame, path: str, folder: str, end_id: int) -> list[
             out.write(np.concatenate(index).astype("<i8").tobytes())
         for kind in ("idx", "rec"):
             store.move(f"{own}.{kind}", f"{root}/part-{part:06d}.{kind}")
-        yield pa.RecordBatch.from_pydict({"part": [part], "n_tokens": [tokens]})
+        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([tokens])], names=["part", "n_tokens"])
 
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -141,7 +141,7 @@ def write_records(docs: DataFrame, path: str, folder: str, end_id: int) -> list[
         .sortWithinPartitions("doc_id", "tie")
         .drop("tie")
     )
-    parts = rows.mapInArrow(write, "part int, n_tokens long").collect()
+    parts = rows.mapInArrow(write, "part long, n_tokens long").collect()
     return sorted(({"part": r["part"], "n_tokens": r["n_tokens"]} for r in parts), key=lambda p: p["part"])
 
 
@@ -181,7 +181,7 @@ def read_records(spark: SparkSession, folder: str, manifest: list[dict]) -> Data
                         start = int(ends[-1])
                         begin = stop
 
-    parts = spark.createDataFrame(rows, "part int, start long").repartition(max(1, len(rows)))
+    parts = spark.createDataFrame(rows, "part long, start long").repartition(max(1, len(rows)))
     return parts.mapInArrow(read, "doc_id long, start long, ids binary, width int")
 
 
