@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscope.llm import bpe, licences, records, sharding, simhash
+from clickscope.llm import bpe, language, licences, records, sharding, simhash, toxicity
 from clickscope.llm.common import read_table
 
 #: Vocabulary file of the token queries, by its name in the tokenizers folder.
@@ -45,6 +45,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(language.learnable(docs)))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": op2_sharding,
@@ -52,6 +61,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_records": op4_records,
         "op5_licences": op5_licences,
         "op7_simhash": op7_simhash,
+        "op8_language": op8_language,
+        "op9_toxicity": op9_toxicity,
     }
 
 
