@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickscope.llm import bpe, language, licences, records, sharding, simhash, toxicity
+from clickscope.llm import (
+    bpe,
+    decontaminate,
+    embeddings,
+    language,
+    licences,
+    records,
+    sharding,
+    simhash,
+    toxicity,
+)
 from clickscope.llm.common import read_table
 
 #: Vocabulary file of the token queries, by its name in the tokenizers folder.
@@ -37,6 +47,10 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(read_table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -54,17 +68,51 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": op2_sharding,
         "op3_bpe": op3_bpe,
         "op4_records": op4_records,
         "op5_licences": op5_licences,
+        "op6_embeddings": op6_embeddings,
         "op7_simhash": op7_simhash,
         "op8_language": op8_language,
         "op9_toxicity": op9_toxicity,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
+OP6_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+           embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine
+    FROM embeddings
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM vectors a JOIN vectors b
+      ON a.vec_id <> b.vec_id AND a.fine AND b.fine AND len(a.v) = len(b.v)
+     AND list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reached(a, b) AS (
+    SELECT vec_id, vec_id FROM vectors
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, m.component_id, v.vec_id = m.component_id AS kept
+FROM vectors v JOIN named m USING (vec_id) LEFT JOIN counted c USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_embeddings": OP6_SQL}

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickscope.llm.common import binary_column, text_blocks
 
@@ -453,7 +454,7 @@ def score_column(docs: DataFrame, network: Network | None, name: str = "score")
                 [*batch.columns, pa.array(scores)], names=[*batch.schema.names, name]
             )
 
-    schema = docs.select("*").schema.add(name, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
