@@ -195,46 +195,50 @@ class WordBpe:
         return " ".join(self.label[i] for i in ids if i in self.label)
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id``, ``ids`` (array of ints) and ``decoded`` of every whole text."""
+def _coded(docs: DataFrame, path: str, columns: dict[str, str]) -> DataFrame:
+    """``doc_id`` and the wanted columns of every whole text, encoded and decoded."""
     coders: list[WordBpe] = []
+    make = {
+        "n_tokens": lambda ids, decoded: len(ids) // 4,
+        "ids_sha256": lambda ids, decoded: hashlib.sha256(ids).hexdigest(),
+        "decoded_sha256": lambda ids, decoded: hashlib.sha256(decoded).hexdigest(),
+        "decoded": lambda ids, decoded: decoded.decode(),
+        "ids": lambda ids, decoded: ids,
+    }
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not coders:
             coders.append(WordBpe(path))
-        pairs = [coders[0].encode_decode(t or b"") for t in binary_column(batch, "text")]
-        offsets = np.cumsum([0, *(len(p[0]) // 4 for p in pairs)]).astype(np.int32)
-        flat = np.frombuffer(b"".join(p[0] for p in pairs), "<i4")
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                pa.array([p[1].decode() for p in pairs], pa.string()),
-            ],
-            names=["doc_id", "ids", "decoded"],
-        )
+        made: dict[str, list] = {name: [] for name in columns}
+        for text in binary_column(batch, "text"):
+            pair = coders[0].encode_decode(text or b"")
+            for name, values in made.items():
+                values.append(make[name](*pair))
+        arrays = [batch.column("doc_id")]
+        for name, values in made.items():
+            if name == "ids":
+                offsets = np.cumsum([0, *(len(v) // 4 for v in values)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(values), "<i4")
+                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+            else:
+                arrays.append(pa.array(values, pa.int64() if name == "n_tokens" else pa.string()))
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *made])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, work, "doc_id long, ids array<int>, decoded string")
+    schema = ", ".join(["doc_id long", *(f"{name} {kind}" for name, kind in columns.items())])
+    return map_batches(rows, work, schema)
+
+
+def encode_documents(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``decoded`` of every whole text."""
+    return _coded(docs, path, {"n_tokens": "long", "ids": "array<int>", "decoded": "string"})
 
 
 def digest_documents(docs: DataFrame, path: str) -> DataFrame:
-    """Digests of every text's ids and of their decoding, made where they are made."""
-    coders: list[WordBpe] = []
+    """Number of tokens, and digests of the ids and of what they decode to."""
+    return _coded(docs, path, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"})
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not coders:
-            coders.append(WordBpe(path))
-        counts, ids_sha, decoded_sha = [], [], []
-        for text in binary_column(batch, "text"):
-            ids, decoded = coders[0].encode_decode(text or b"")
-            counts.append(len(ids) // 4)
-            ids_sha.append(hashlib.sha256(ids).hexdigest())
-            decoded_sha.append(hashlib.sha256(decoded).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def training_rows(docs: DataFrame, path: str) -> DataFrame:
+    """Token ids of every whole text, with the digest of what they decode to."""
+    return _coded(docs, path, {"n_tokens": "long", "ids": "array<int>", "decoded_sha256": "string"})

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickscope.session import ensure_checkpoint_dir
 
@@ -60,7 +61,7 @@ def text_blocks(texts: list[bytes | None], limit: int = BLOCK_BYTES) -> Iterator
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType
 ) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 

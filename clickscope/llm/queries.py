@@ -15,6 +15,7 @@ from clickscope.llm import (
     records,
     sharding,
     simhash,
+    substring,
     toxicity,
 )
 from clickscope.llm.common import read_table
@@ -30,6 +31,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removed_words(read_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring": op1_substring,
         "op2_sharding": op2_sharding,
         "op3_bpe": op3_bpe,
         "op4_records": op4_records,
@@ -88,6 +94,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP1_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+places AS (
+    SELECT r, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word,
+           len(words) AS n_words, words
+    FROM texts
+),
+begun AS (
+    SELECT r, pos, word,
+           CASE WHEN pos + 34 <= n_words THEN md5(array_to_string(words[pos:pos + 34], ' ')) END AS w
+    FROM places
+),
+often AS (SELECT w FROM begun WHERE w IS NOT NULL GROUP BY w HAVING count(*) > 1),
+marked AS (
+    SELECT r, pos, word,
+           max(CASE WHEN w IN (SELECT w FROM often) THEN 1 ELSE 0 END)
+               OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM begun
+),
+kept AS (
+    SELECT r, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept
+    FROM marked GROUP BY r
+)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words,
+       CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (r)
+"""
+
+
 OP6_SQL = """
 WITH RECURSIVE vectors AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
@@ -115,4 +155,4 @@ FROM vectors v JOIN named m USING (vec_id) LEFT JOIN counted c USING (vec_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_embeddings": OP6_SQL}
+    return {"op1_substring": OP1_SQL, "op6_embeddings": OP6_SQL}

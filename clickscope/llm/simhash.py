@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickscope.llm.common import binary_column, components, map_batches, stored
 
@@ -161,16 +162,48 @@ def similar_links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return lists.mapInArrow(run, "u long, v long")
 
 
+def class_components(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp`` and ``root``, the same for all fingerprints that links join (stored)."""
+    found = components(similar_links(classes, max_bits))
+    return stored(
+        classes.join(found, classes["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root")),
+        "roots",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` (the smallest ``doc_id`` reachable)."""
     rows = stored(fingerprints(docs, words_each), "fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    found = components(similar_links(classes.select("fp"), max_bits))
-    rooted = classes.join(found, classes["fp"] == found["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = classes.join(class_components(classes.select("fp"), max_bits), "fp")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = stored(rooted.join(named, "root").select("fp", "component_id"), "components")
     return rows.join(by_class, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_each(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group, with all columns: the one with the smallest ``doc_id``.
+
+    Of rows that share that ``doc_id`` one stays; a row with a null id stays
+    only if its group has no other.
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.array([fingerprint(t, words_each) for t in binary_column(batch, "text")], np.uint64)
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values.view(np.int64))], names=["row", "fp"])
+
+    packed = docs.select(F.struct("*").alias("row"), "text")  # no column name can clash
+    schema = T.StructType([packed.schema["row"], T.StructField("fp", T.LongType())])
+    rows = stored(
+        map_batches(packed, work, schema).withColumn("number", F.monotonically_increasing_id()), "fingerprinted"
+    )
+    keys = rows.select("number", "fp", F.col("row.doc_id").cast("long").alias("doc_id"))
+    roots = class_components(stored(keys.select("fp").distinct(), "classes"), max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "number")).alias("first")
+    kept = stored(
+        keys.groupBy("fp").agg(first).join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.number"),
+        "kept",
+    )
+    return rows.join(kept, "number", "left_semi").select("row.*")
