@@ -8,6 +8,7 @@ tested without touching any file.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
@@ -15,17 +16,21 @@ from dataclasses import dataclass, field, replace
 from clickscope.constants import ID_LIST_SEPARATOR, PARAMS_KEY
 
 
-def _ints(values: Iterable[object] | str | None) -> tuple[int, ...]:
+def _ints(values: Iterable[object] | str | int | None) -> tuple[int, ...]:
     if values is None:
         return ()
+    if isinstance(values, int):
+        values = (values,)
     if isinstance(values, str):
         values = [v for v in values.split(ID_LIST_SEPARATOR) if v.strip() != ""]
     return tuple(int(str(v).strip()) for v in values)
 
 
-def _strs(values: Iterable[object] | str | None) -> tuple[str, ...]:
+def _strs(values: Iterable[object] | str | int | None) -> tuple[str, ...]:
     if values is None:
         return ()
+    if isinstance(values, int):
+        values = (values,)
     if isinstance(values, str):
         values = [v for v in values.split(ID_LIST_SEPARATOR) if v.strip() != ""]
     return tuple(str(v).strip() for v in values)
@@ -38,6 +43,20 @@ def _blank_to_none(value: object) -> str | None:
     return text or None
 
 
+# The parameter names of the original configuration.
+PARAMETER_NAMES = {
+    "startDate",
+    "endDate",
+    "startAge",
+    "endAge",
+    "professionals",
+    "city",
+    "gender",
+    "keywords",
+    "categoryIds",
+    "targetPageFlow",
+}
+
 _ISO_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
@@ -64,7 +83,8 @@ class FilterSpec:
     applied.  They are honoured here as ``isin`` filters, empty meaning
     none: professionals and genders on the user's ``professional`` /
     ``gender``, city ids on the action's ``city_id``, keywords on its
-    ``search_keyword`` and category ids on its ``click_category_id``.
+    ``search_keyword``, and category ids on the categories that the category
+    jobs count (clicked, ordered or paid; the page and area jobs have none).
     """
 
     start_date: str | None = None
@@ -122,18 +142,46 @@ class FilterSpec:
 
         ``condition.params.json={startDate:"2018-11-01", endAge: "50", ...}``
 
-        The value is JSON with unquoted keys, possibly continued over lines
-        ending in ``\\``; only ``name: "text"`` pairs occur in it.
+        The value is a JSON object whose keys may lack quotes, possibly
+        continued over lines ending in ``\\``.  Values are strings, whole
+        numbers, null or lists of strings and whole numbers.  Anything else,
+        and any unknown name, raises ``ValueError``: a parameter that is
+        silently dropped would run the job over data nobody asked for.
         """
         joined = re.sub(r"\\\s*\n", " ", text)
         for line in joined.splitlines():
             name, sep, value = line.partition("=")
             if sep and name.strip() == key:
-                pairs = dict(re.findall(r'(\w+)\s*:\s*"([^"]*)"', value))
-                return cls.from_mapping(pairs)
+                return cls.from_mapping(_parameters(value))
         raise ValueError(f"no {key} line in the properties text")
 
 
+_STRING_OR_KEY = re.compile(r'"(?:[^"\\]|\\.)*"|[A-Za-z_]\w*(?=\s*:)')
+
+
+def _parameters(value: str) -> dict[str, object]:
+    """Names and values of a parameter object; raises on whatever is not one."""
+    quoted = _STRING_OR_KEY.sub(lambda m: m[0] if m[0].startswith('"') else f'"{m[0]}"', value)
+
+    def once(pairs: list[tuple[str, object]]) -> dict[str, object]:
+        names = [name for name, _ in pairs]
+        if len(set(names)) < len(names):
+            raise ValueError("a parameter is given twice")
+        return dict(pairs)
+
+    params = json.loads(quoted, object_pairs_hook=once)  # its error is a ValueError
+    if not isinstance(params, dict):
+        raise ValueError("the parameters are not an object")
+    unknown = set(params) - PARAMETER_NAMES
+    if unknown:
+        raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+    for name, given in params.items():
+        for item in given if isinstance(given, list) else [given]:
+            if isinstance(item, bool) or not isinstance(item, (str, int, type(None))):
+                raise ValueError(f"parameter {name} has a value of the wrong kind")
+    return params
+
+
 # The parameters of the original job configuration.
 REFERENCE_SPEC = FilterSpec(
     start_date="2018-11-01",

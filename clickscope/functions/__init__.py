@@ -4,7 +4,6 @@ from clickscope.functions.idlists import id_list, id_tokens
 from clickscope.functions.predicates import (
     action_predicates,
     all_of,
-    any_of,
     is_target_jump,
     page_in_flow,
     user_predicates,
@@ -13,7 +12,6 @@ from clickscope.functions.predicates import (
 __all__ = [
     "action_predicates",
     "all_of",
-    "any_of",
     "id_list",
     "id_tokens",
     "is_target_jump",

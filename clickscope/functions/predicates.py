@@ -21,14 +21,13 @@ def all_of(predicates: list[Column]) -> Column | None:
     return reduce(lambda left, right: left & right, predicates)
 
 
-def any_of(predicates: list[Column]) -> Column | None:
-    if not predicates:
-        return None
-    return reduce(lambda left, right: left | right, predicates)
-
-
 def action_predicates(spec: FilterSpec) -> list[Column]:
-    """F1, F2 (date range, inclusive) and the optional fact-side lists."""
+    """F1, F2 (date range, inclusive) and the optional fact-side lists.
+
+    The category list is not among them: an action holds several categories
+    (a click's, or its ordered or paid ones), so it applies to the exploded
+    rows of the category jobs (``operators.behavior.of_categories``).
+    """
     preds: list[Column] = []
     if spec.start_date is not None:
         preds.append(F.col("date") >= F.lit(spec.start_date))
@@ -38,8 +37,6 @@ def action_predicates(spec: FilterSpec) -> list[Column]:
         preds.append(F.col("city_id").isin(list(spec.city_ids)))
     if spec.keywords:
         preds.append(F.col("search_keyword").isin(list(spec.keywords)))
-    if spec.category_ids:
-        preds.append(F.col("click_category_id").isin(list(spec.category_ids)))
     return preds
 
 

@@ -1,10 +1,6 @@
 """Reusable operators the jobs are composed of."""
 
-from clickscope.operators.adjacency import (
-    consecutive_pairs,
-    consecutive_pairs_by_window,
-    count_consecutive_pairs,
-)
+from clickscope.operators.adjacency import count_consecutive_pairs
 from clickscope.operators.behavior import (
     CLICK,
     ORDER,
@@ -14,6 +10,7 @@ from clickscope.operators.behavior import (
     behavior_rows,
     count_behaviors,
     is_click,
+    of_categories,
 )
 from clickscope.operators.joins import restrict_to_keys
 from clickscope.operators.share import share_of_group
@@ -26,11 +23,10 @@ __all__ = [
     "behavior_category_ids",
     "behavior_kind",
     "behavior_rows",
-    "consecutive_pairs",
-    "consecutive_pairs_by_window",
     "count_behaviors",
     "count_consecutive_pairs",
     "is_click",
+    "of_categories",
     "restrict_to_keys",
     "share_of_group",
     "top_k",

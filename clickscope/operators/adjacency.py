@@ -1,219 +1,94 @@
-"""Consecutive pairs inside ordered groups, safe for very large groups.
-
-The plain plan, ``lead(v) over (partition by g order by t)``, sends each
-group to one task.  If one group (one session) holds a third of all rows,
-that task sorts and scans a third of the data alone.  Here the ordered key
-space is first cut into contiguous ranges, so a large group spreads over
-many tasks, and the pairs that cross a range boundary are stitched from a
-summary that has one row per (group, range):
-
-1. ``repartitionByRange(g, t...)``: range ``b`` holds a contiguous run of
-   the global order (g, t); a big group spans many ranges.
-2. ``lead`` over ``(g, b)``: each window group is at most one range, so its
-   size is bounded by one shuffle partition.
-3. per ``(g, b)``: the first and last value (partial aggregates on the
-   partitioning the window already produced, no further shuffle).
-4. ``lead(first) over (partition by g order by b)``: last value of one
-   range, first value of the next non-empty range of the same group.  This
-   window holds at most one row per range per group.
-
-Pairs from step 2 and step 4 together are exactly the pairs of the plain
-plan.  In :func:`consecutive_pairs` steps 2 and 3 read the same shuffle
-output (Spark reuses the exchange), so they see the same range ids.
-:func:`count_consecutive_pairs` does steps 2 and 3 in one pass, gathers each
-group's range ends into a list (two entries per range, so bounded by the
-range count) and reads step 4 off the sorted list, without a window.
-
-The range bounds are fixed when the shuffle is planned, so a task re-run
-after a lost executor assigns every row to the same range.
+"""Counts of consecutive pairs inside ordered groups, safe for very large groups.
+
+The plain plan, ``lead(v) over (partition by g order by t)``, sends each group
+to one task.  If one group (one session) holds a third of all rows, that task
+sorts and scans a third of the data alone.  Here each group is cut into slices
+by a column that grows with the order (the date of an action's time):
+
+1. One hash shuffle on (group, slice).  Inside a slice ``lead`` gives each
+   row's next value, and one row is kept of each slice: how often each wanted
+   pair stands in it, its first and its last value.  The largest task holds
+   one slice of the hot group, not the group.
+2. Those rows, far fewer than the clicks unless most slices hold one or two,
+   are shuffled by group; ``lead`` over a group's slices gives the pairs that
+   cross from one slice to the next.
+3. The counts of both are summed; map-side, so one row a task is shuffled.
+
+Slices come from the data, so a task that runs again after a lost executor
+sees the same ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BUCKET = "__range_bucket"
-_VALUE = "__value"
-
 
 def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def _marked(
-    df: DataFrame, group: list[str], order: list[str], value: str, ranges: int | None
-) -> DataFrame:
-    """Steps 1-2: rows tagged with their range, next value and range ends."""
-    groups = [_q(c) for c in group]
-    orders = ", ".join(_q(c) for c in order)
-    keyed = df.select(*group, *order, F.col(value).alias(_VALUE))
-    if ranges:
-        ranged = keyed.repartitionByRange(ranges, *group, *order)
-    else:
-        # No fixed count: the shuffle starts from spark.sql.shuffle.partitions
-        # ranges and adaptive execution merges *adjacent* small ones up to
-        # the advisory size.  Merged ranges are still contiguous and in
-        # order, and a large range is never merged, so a hot group stays
-        # split while small data runs in few tasks.
-        ranged = keyed.repartitionByRange(*group, *order)
-    ranged = ranged.withColumn(_BUCKET, F.spark_partition_id())
-    in_range = f"over (partition by {', '.join(groups + [_BUCKET])} order by {orders})"
-    return ranged.selectExpr(
-        *groups,
-        _BUCKET,
-        _VALUE,
-        f"lead({_VALUE}) {in_range} as __next",
-        f"lead(1) {in_range} is not null as __has_next",
-        f"lag(1) {in_range} is null as __is_first",
-    )
-
-
-def _stitched(ends: DataFrame, group: list[str]) -> DataFrame:
-    """Step 4: (group, __from, __to) across consecutive non-empty ranges."""
-    groups = [_q(c) for c in group]
-    across_ranges = f"over (partition by {', '.join(groups)} order by {_BUCKET})"
-    return (
-        ends.selectExpr(*groups, "__last.v as __from", f"lead(__first) {across_ranges} as __next_first")
-        .where("__next_first is not null")
-        .selectExpr(*groups, "__from", "__next_first.v as __to")
-    )
-
-
-def consecutive_pairs(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    from_col: str = "from_value",
-    to_col: str = "to_value",
-    ranges: int | None = None,
-) -> DataFrame:
-    """Rows ``(*group, from_col, to_col)``: each value and the next one of
-    its group in ``order``.  ``order`` must be unique within a group (add a
-    sequence column) so that "next" is well defined."""
-    group = list(group)
-    groups = [_q(c) for c in group]
-    marked = _marked(df, group, list(order), value, ranges)
-
-    inside = marked.where("__has_next").selectExpr(
-        *groups, f"{_VALUE} as {_q(from_col)}", f"__next as {_q(to_col)}"
-    )
-    # One row per (group, range): its first and last value.  Wrapped in a
-    # struct so a null value still marks its row.
-    ends = (
-        marked.where("__is_first or not __has_next")
-        .groupBy(*group, _BUCKET)
-        .agg(
-            F.expr(f"max(case when __is_first then named_struct('v', {_VALUE}) end) as __first"),
-            F.expr(f"max(case when not __has_next then named_struct('v', {_VALUE}) end) as __last"),
-        )
-    )
-    stitched = _stitched(ends, group).selectExpr(
-        *groups, f"__from as {_q(from_col)}", f"__to as {_q(to_col)}"
-    )
-    return inside.unionByName(stitched)
-
-
 def count_consecutive_pairs(
     df: DataFrame,
     group: Sequence[str],
+    slice_by: str,
     order: Sequence[str],
     value: str,
-    keep: Callable[[str, str], Column] | None = None,
+    pairs: Sequence[tuple[int, int]],
     from_col: str = "from_value",
     to_col: str = "to_value",
     count_col: str = "pair_count",
-    ranges: int | None = None,
 ) -> DataFrame:
     """``(from_col, to_col, count_col)``: how often a value is followed by
-    another inside a group, for the pairs ``keep(from, to)`` accepts.
+    another inside a group, for the wanted ``pairs`` that occur.
 
-    Same steps as :func:`consecutive_pairs`, but the window over every row
-    runs once: in its own stage each pair row is counted by ``(from, to)``
-    and each range end folded into its ``(group, range)`` row, all in one
-    partial aggregate.  What leaves the stage is that small aggregate (pair
-    counts per task, and per group a list of its range ends), and the pairs
-    across ranges are read off each group's sorted list.
+    ``order`` must be unique within a group, and all rows of a smaller
+    ``slice_by`` come before those of a larger one.  The number of pairs is
+    a parameter, not data: each is a counter column.
     """
-    group = list(group)
-    groups = [_q(c) for c in group]
-    marked = _marked(df, group, list(order), value, ranges)
-
-    # kind 0: a pair inside a range; kind 1 / 2: the first / last row of a range
-    tagged = marked.selectExpr(
-        *groups,
-        _BUCKET,
-        "inline(filter(array("
-        f"if(__has_next, named_struct('__kind', 0, '__v', {_VALUE}, '__w', __next), null), "
-        f"if(__is_first, named_struct('__kind', 1, '__v', {_VALUE}, '__w', __next), null), "
-        f"if(not __has_next, named_struct('__kind', 2, '__v', {_VALUE}, '__w', __next), null)"
-        "), x -> x is not null))",
+    wanted = list(dict.fromkeys(pairs))
+    groups = ", ".join(_q(c) for c in group)
+    inside = f"over (partition by {groups}, __slice order by {', '.join(_q(c) for c in order)})"
+    rows = df.selectExpr(
+        *[_q(c) for c in (*group, *order)], f"{_q(slice_by)} as __slice", f"{_q(value)} as __value"
+    ).selectExpr(
+        *[_q(c) for c in group],
+        "__slice",
+        "__value",
+        f"lead(__value) {inside} as __next",
+        f"lead(1) {inside} is null as __is_last",
+        f"lag(1) {inside} is null as __is_first",
     )
-    if keep is not None:
-        tagged = tagged.where((F.col("__kind") != 0) | keep("__v", "__w"))
 
-    # One aggregate folds both kinds of row: pairs by (from, to), range ends
-    # by group into a list of (range, kind, value) entries.  A group's list
-    # holds two entries per range it spans, so even a hot group's list is
-    # bounded by the number of ranges, not by its rows.
-    is_pair = "__kind = 0"
-    folded = tagged.groupBy(
-        F.expr(is_pair).alias("__is_pair"),
-        *[F.expr(f"if({is_pair}, null, {c})").alias(f"__g{i}") for i, c in enumerate(groups)],
-        F.expr(f"if({is_pair}, __v, null)").alias("__from"),
-        F.expr(f"if({is_pair}, __w, null)").alias("__to"),
-    ).agg(
-        F.expr("count(1) as __n"),
-        F.expr(
-            f"collect_list(if({is_pair}, null, "
-            f"named_struct('b', {_BUCKET}, 'k', __kind, 'v', __v))) as __ends"
-        ),
-    )
+    def counter(i: int, a: str, b: str) -> str:
+        return f"{a} = {int(wanted[i][0])} and {b} = {int(wanted[i][1])}"
 
-    # Sorted by (range, kind) a group's entries run first, last, first,
-    # last, ...; the pairs across ranges are (last of one, first of next):
-    # entries (1, 2), (3, 4), ... (0-based).
-    across = (
-        "if(size(__ends) > 2, transform(sequence(1, size(__ends) div 2 - 1), "
-        "i -> named_struct('a', __ends[2 * i - 1].v, 'b', __ends[2 * i].v, "
-        "'n', cast(1 as bigint))), array())"
+    counters = range(len(wanted))
+    slices = rows.groupBy(*group, "__slice").agg(
+        # structs, so that a null value still marks its row
+        F.expr("max(case when __is_first then named_struct('v', __value) end) as __first"),
+        F.expr("max(case when __is_last then named_struct('v', __value) end) as __last"),
+        *[F.expr(f"count_if({counter(i, '__value', '__next')}) as __n{i}") for i in counters],
     )
-    counted = folded.selectExpr(
-        "__is_pair", "__from", "__to", "__n", "array_sort(__ends) as __ends"
-    ).selectExpr(
-        "inline(if(__is_pair, array(named_struct('a', __from, 'b', __to, 'n', __n)), "
-        f"{across})) as (__a, __b, __n)"
+    across = slices.selectExpr(
+        "__last.v as __from",
+        f"lead(__first) over (partition by {groups} order by __slice) as __to",
+        *[f"__n{i}" for i in counters],
     )
-    if keep is not None:
-        counted = counted.where(keep("__a", "__b"))
-    return (
-        counted.groupBy("__a", "__b")
-        .agg(F.sum("__n").cast("bigint").alias(count_col))
-        .selectExpr(f"__a as {_q(from_col)}", f"__b as {_q(to_col)}", _q(count_col))
+    totals = across.agg(
+        F.lit(0).alias("__any"),
+        *[F.expr(f"sum(__n{i} + if({counter(i, '__from', '__to.v')}, 1, 0)) as __n{i}") for i in counters],
     )
-
-
-def consecutive_pairs_by_window(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    from_col: str = "from_value",
-    to_col: str = "to_value",
-) -> DataFrame:
-    """The plain one-window plan; used as the brute-force check in tests."""
-    window = Window.partitionBy(*group).orderBy(*order)
-    has_next: Column = F.lead(F.lit(1)).over(window).isNotNull()
+    kind = df.schema[value].dataType.simpleString()
+    entries = [
+        f"named_struct('a', cast({int(a)} as {kind}), 'b', cast({int(b)} as {kind}), 'n', __n{i})"
+        for i, (a, b) in enumerate(wanted)
+    ]
+    found = f"array({', '.join(entries)})" if entries else f"cast(array() as array<struct<a:{kind},b:{kind},n:bigint>>)"
     return (
-        df.select(
-            *group,
-            F.col(value).alias(from_col),
-            F.lead(value).over(window).alias(to_col),
-            has_next.alias("__has_next"),
-        )
-        .where(F.col("__has_next"))
-        .drop("__has_next")
+        totals.selectExpr(f"inline({found}) as (__a, __b, __n)")
+        .where("__n > 0")
+        .selectExpr(f"__a as {_q(from_col)}", f"__b as {_q(to_col)}", f"__n as {_q(count_col)}")
     )

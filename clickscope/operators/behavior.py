@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,11 @@ def behavior_rows(actions: DataFrame) -> DataFrame:
     return actions.selectExpr(f"{KIND_SQL} as kind", f"explode({CATEGORY_IDS_SQL}) as category_id")
 
 
+def of_categories(behaviors: DataFrame, categories: Sequence[int]) -> DataFrame:
+    """the rows of the listed categories (an empty list: all rows)."""
+    return behaviors.where(F.col("category_id").isin(list(categories))) if categories else behaviors
+
+
 def count_behaviors(behaviors: DataFrame) -> DataFrame:
     """A1: clicks, orders and pays per category, 0 when a kind is missing.
 

@@ -16,20 +16,22 @@ from clickscope.plans.actions import filtered_actions
 from clickscope.plans.area import area_city_share
 from clickscope.plans.category import category_session_top10, category_top10
 from clickscope.plans.funnel import page_jump_rate
-from clickscope.sinks.results import ResultStore, as_result, new_task_id
+from clickscope.sinks.results import JdbcResultStore, ResultStore, as_result, new_task_id
 from clickscope.sources.tables import ClickstreamTables
 
+Store = ResultStore | JdbcResultStore
+
 
 def run_category_top10(
-    tables: ClickstreamTables, spec: FilterSpec, store: ResultStore, task_id: str
+    tables: ClickstreamTables, spec: FilterSpec, store: Store, task_id: str
 ) -> DataFrame:
-    top = category_top10(filtered_actions(tables, spec))
+    top = category_top10(filtered_actions(tables, spec), categories=spec.category_ids)
     store.append("category_top10", as_result("category_top10", top), task_id)
     return store.read(tables.actions.sparkSession, "category_top10", task_id)
 
 
 def run_category_session_top10(
-    tables: ClickstreamTables, spec: FilterSpec, store: ResultStore, task_id: str
+    tables: ClickstreamTables, spec: FilterSpec, store: Store, task_id: str
 ) -> DataFrame:
     spark = tables.actions.sparkSession
     top = store.read(spark, "category_top10", task_id)
@@ -41,7 +43,7 @@ def run_category_session_top10(
 
 
 def run_page_jump_rate(
-    tables: ClickstreamTables, spec: FilterSpec, store: ResultStore, task_id: str
+    tables: ClickstreamTables, spec: FilterSpec, store: Store, task_id: str
 ) -> DataFrame:
     rates = page_jump_rate(filtered_actions(tables, spec), spec)
     store.append("page_jump_rate", as_result("page_jump_rate", rates), task_id)
@@ -57,10 +59,14 @@ def run_area_top3(tables: ClickstreamTables, spec: FilterSpec | None = None) ->
 def run_all(
     tables: ClickstreamTables,
     spec: FilterSpec,
-    store: ResultStore,
+    store: Store,
     task_id: str | None = None,
 ) -> str:
-    """Run the three stored jobs in order under one task id; return it."""
+    """Run the three stored jobs in order under one task id; return it.
+
+    The fourth, :func:`run_area_top3`, stores nothing; the caller runs it
+    for its DataFrame.
+    """
     task_id = task_id or new_task_id()
     run_category_top10(tables, spec, store, task_id)
     run_category_session_top10(tables, spec, store, task_id)

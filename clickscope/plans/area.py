@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.config import FilterSpec
-from clickscope.constants import TOP_PRODUCTS
+from clickscope.constants import NO_CLICK, TOP_PRODUCTS
 from clickscope.functions.predicates import action_predicates, all_of
 from clickscope.operators.share import share_of_group
 from clickscope.operators.topk import top_k_per_group
@@ -22,8 +22,10 @@ from clickscope.sources.tables import ClickstreamTables
 
 
 def _actions(tables: ClickstreamTables, spec: FilterSpec | None) -> DataFrame:
-    # The original area job applies no filter; a spec may add one.
-    actions = tables.actions
+    # The original area job applies no filter; a spec may add one.  Actions
+    # that are no clicks name no product, so the joins would drop them: they
+    # are left out in the scan, before they all meet on one key.
+    actions = tables.actions.where(F.col("click_product_id") != F.lit(NO_CLICK))
     if spec is not None:
         pred = all_of(action_predicates(spec))
         if pred is not None:
@@ -47,8 +49,6 @@ def area_product_city_rows(
 
     This is row-level output (its size is the number of clicks), so no
     aggregation can shrink it; join sides are left to Spark's size check.
-    Non-clicks carry product -1, which names no product, so the inner
-    join drops them.
     """
     actions = _actions(tables, spec).select("city_id", "click_product_id")
     with_city = actions.join(_cities(tables), "city_id", "inner")
@@ -112,14 +112,15 @@ def area_city_share(
     share of the product's clicks in that area.
 
     The ranking is on area totals (Q9), then the city cells (Q10) of the
-    chosen products are joined back; both come from one shared aggregate,
-    which Spark computes once and reuses.
+    chosen products are joined back.  The top rows are the small side (k for
+    each area, however many cells there are), so the join builds on them and
+    the cells stay where they are.
     """
     cells = area_product_city_clicks(tables, spec)
     top = area_product_top3(tables, spec, k).select(
         "area", "product_id", "area_rank", F.col("click_count").alias("product_click_count")
     )
-    chosen = cells.join(top, ["area", "product_id"], "inner")
+    chosen = cells.join(F.broadcast(top), ["area", "product_id"], "inner")
     return chosen.select(
         "area",
         "area_rank",

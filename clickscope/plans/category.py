@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickscope.constants import TOP_CATEGORIES, TOP_SESSIONS
-from clickscope.operators.behavior import behavior_rows, count_behaviors
+from clickscope.operators.behavior import behavior_rows, count_behaviors, of_categories
 from clickscope.operators.topk import top_k, top_k_per_group
 
 
@@ -15,21 +17,25 @@ def category_order() -> list[Column]:
     return [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), F.asc("category_id")]
 
 
-def category_behavior_counts(actions: DataFrame) -> DataFrame:
+def category_behavior_counts(actions: DataFrame, categories: Sequence[int] = ()) -> DataFrame:
     """Clicks, orders and pays of every category that has any.
 
-    ``actions`` is the output of :func:`filtered_actions`.
+    ``actions`` is the output of :func:`filtered_actions`.  ``categories``
+    (none: all) are the ones to count; the list applies to clicks, orders
+    and pays alike.
     """
-    return count_behaviors(behavior_rows(actions))
+    return count_behaviors(of_categories(behavior_rows(actions), categories))
 
 
-def category_top10(actions: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
+def category_top10(
+    actions: DataFrame, k: int = TOP_CATEGORIES, categories: Sequence[int] = ()
+) -> DataFrame:
     """The k categories with most clicks, then orders, then pays.
 
     Ties after all three counts go to the lower category id, so the cut is
     the same every run.
     """
-    counts = category_behavior_counts(actions)
+    counts = category_behavior_counts(actions, categories)
     return top_k(counts, category_order(), k).select(
         "category_id", "click_count", "order_count", "pay_count"
     )
@@ -38,13 +44,12 @@ def category_top10(actions: DataFrame, k: int = TOP_CATEGORIES) -> DataFrame:
 def category_session_counts(actions: DataFrame, top: DataFrame) -> DataFrame:
     """Clicks per (category, session) for the categories in ``top``.
 
-    ``top`` is at most k rows by construction (a top-k result), so the
-    broadcast of its ids has a proven size bound; the fact side is never
-    shuffled for the membership test.  The count is aggregated partially
-    in every task, so a hot session is one row per task before the
-    shuffle.
+    ``top`` is usually a top-k result, which Spark's size check broadcasts,
+    so the fact side is not shuffled for the membership test; any other set
+    of categories may be given.  The count is aggregated partially in every
+    task, so a hot session is one row per task before the shuffle.
     """
-    ids = F.broadcast(top.select(F.col("category_id").alias("__top_category")))
+    ids = top.select(F.col("category_id").alias("__top_category"))
     members = actions.join(
         ids, actions["click_category_id"] == ids["__top_category"], "left_semi"
     )

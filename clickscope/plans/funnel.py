@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickscope.config import FilterSpec
 from clickscope.constants import NO_CLICK, PAGE_FLOW_SEPARATOR
-from clickscope.functions.predicates import is_target_jump, page_in_flow
+from clickscope.functions.predicates import page_in_flow
 from clickscope.operators.adjacency import count_consecutive_pairs
 
 # The order of actions inside a session: time, then the unique sequence
@@ -15,30 +15,27 @@ from clickscope.operators.adjacency import count_consecutive_pairs
 SESSION_ORDER = ("action_time", "action_seq")
 
 
-def page_jump_counts(
-    actions: DataFrame, spec: FilterSpec, ranges: int | None = None
-) -> DataFrame:
+def page_jump_counts(actions: DataFrame, spec: FilterSpec) -> DataFrame:
     """How often a session's next product click follows on the next page of
     the target flow.
 
     The next click is found among *all* product clicks of the session in
     time order; only then are pairs cut to the flow's steps, so no
-    adjacency is invented by dropping pages in between.  Pairs are counted
-    in the window's own stage with a partial aggregate, so the wire carries
-    at most one row per step per task (plus one row per session and range
-    for the pairs that cross a range boundary).
+    adjacency is invented by dropping pages in between.  Clicks are shuffled
+    once, by session and date; a day's clicks of a session leave that stage
+    as one row.
     """
     clicks = actions.where(F.col("click_product_id") != F.lit(NO_CLICK))
     return count_consecutive_pairs(
         clicks,
         group=["session_id"],
+        slice_by="date",  # the date of action_time, so it grows with it
         order=list(SESSION_ORDER),
         value="page_id",
-        keep=lambda from_col, to_col: is_target_jump(spec, from_col, to_col),
+        pairs=spec.jump_pairs,
         from_col="from_page_id",
         to_col="to_page_id",
         count_col="jump_count",
-        ranges=ranges,
     )
 
 
@@ -51,9 +48,7 @@ def page_visit_counts(actions: DataFrame, spec: FilterSpec) -> DataFrame:
     )
 
 
-def page_jump_rate(
-    actions: DataFrame, spec: FilterSpec, ranges: int | None = None
-) -> DataFrame:
+def page_jump_rate(actions: DataFrame, spec: FilterSpec) -> DataFrame:
     """jumps(from -> to) / visits(from), as a double.
 
     The visit counts have at most one row per page of the flow (a
@@ -61,7 +56,7 @@ def page_jump_rate(
     no visits divides by 1, as the original did; that cannot happen for a
     step that has jumps, since the jump's first click is itself a visit.
     """
-    jumps = page_jump_counts(actions, spec, ranges)
+    jumps = page_jump_counts(actions, spec)
     visits = F.broadcast(page_visit_counts(actions, spec))
     joined = jumps.join(visits, jumps["from_page_id"] == visits["page_id"], "left")
     visit_count = F.coalesce(F.col("visit_count"), F.lit(1).cast("bigint"))

@@ -60,7 +60,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="clickscope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -8,6 +8,7 @@ parallel, and a failed write raises instead of being printed and dropped.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from clickscope import schemas
 
 TASK_ID = "task_id"
+_FOLDER_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 
 def new_task_id() -> str:
@@ -47,11 +49,10 @@ def as_result(name: str, df: DataFrame) -> DataFrame:
 class ResultStore:
     """Result tables as parquet folders under one shared root.
 
-    Each table is partitioned by ``task_id``: an append adds one folder and
-    reading one run back prunes to that folder.  The write replaces only the
-    folder of its own ``task_id`` (dynamic partition overwrite), so re-running
-    a job under the same id after a failure leaves one copy of its rows, and
-    other runs are never touched.
+    Each run has one folder, ``<root>/<table>/task_id=<id>``, and reading one
+    run back prunes to that folder.  A write replaces the whole folder of its
+    own ``task_id``, so re-running a job under the same id leaves the rows of
+    the last run (none, if it had none), and other runs are never touched.
     """
 
     root: str
@@ -61,14 +62,10 @@ class ResultStore:
         return f"{self.root.rstrip('/')}/{name}"
 
     def append(self, name: str, df: DataFrame, task_id: str) -> None:
-        (
-            with_task_id(df, task_id)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(TASK_ID)
-            .format(self.format)
-            .save(self.path(name))
-        )
+        if not _FOLDER_NAME.fullmatch(task_id):
+            raise ValueError(f"task id {task_id!r} cannot name a folder")
+        folder = f"{self.path(name)}/{TASK_ID}={task_id}"
+        df.write.mode("overwrite").format(self.format).save(folder)
 
     def read(self, spark: SparkSession, name: str, task_id: str | None = None) -> DataFrame:
         schema = schemas.RESULT_SCHEMAS.get(name)
@@ -86,9 +83,10 @@ class ResultStore:
 class JdbcResultStore:
     """Result tables in a relational database, written over JDBC.
 
-    Spark writes each partition in its own batched transaction (``batchsize``
-    rows per round trip); it does not wrap the whole run in one transaction,
-    so readers should select by ``task_id``.
+    The result tables exist beforehand, as the original's did.  A run's rows
+    (a top-k or one row for each step of the flow) are written by one task, in
+    one transaction, so they are there whole or not at all; an id that has
+    rows already is refused, so a re-run takes a new id and never doubles rows.
     """
 
     url: str
@@ -98,7 +96,9 @@ class JdbcResultStore:
     def append(self, name: str, df: DataFrame, task_id: str) -> None:
         props = dict(self.properties)
         props.setdefault("batchsize", str(self.batch_size))
-        with_task_id(df, task_id).write.jdbc(self.url, name, mode="append", properties=props)
+        if not self.read(df.sparkSession, name, task_id).isEmpty():
+            raise ValueError(f"{name} has rows of task {task_id!r} already")
+        with_task_id(df, task_id).coalesce(1).write.jdbc(self.url, name, mode="append", properties=props)
 
     def read(self, spark: SparkSession, name: str, task_id: str | None = None) -> DataFrame:
         df = spark.read.jdbc(self.url, name, properties=dict(self.properties))

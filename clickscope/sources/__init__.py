@@ -1,7 +1,7 @@
 """Where the four clickstream tables come from."""
 
 from clickscope.sources.adapter import from_driver_tables
-from clickscope.sources.catalog import driver_tables
+from clickscope.sources.catalog import prepare_driver_tables
 from clickscope.sources.jdbc import read_jdbc_table
 from clickscope.sources.tables import (
     ClickstreamTables,
@@ -12,8 +12,8 @@ from clickscope.sources.tables import (
 
 __all__ = [
     "ClickstreamTables",
-    "driver_tables",
     "from_driver_tables",
+    "prepare_driver_tables",
     "read_catalog_tables",
     "read_jdbc_table",
     "read_parquet_tables",

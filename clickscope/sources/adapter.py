@@ -4,9 +4,8 @@ The driver ships TPC-H-like tables plus an ``events`` stream, not a
 clickstream.  The mapping below turns them into the clickstream shape with
 integer arithmetic only, so Spark and an independent SQL engine derive
 identical rows (``__spark_entry__.oracle_sql`` holds the SQL twin).  Every
-column is a projection of one input row, so the derivation runs wherever
-the input splits are; the only shuffle is the spread of an input read in a
-single task (``spread_small_input``).
+column is a projection of one input row, so the derivation runs inside the
+scan's own tasks, whatever the input's size, and needs no shuffle.
 
 Mapping (``k`` is the integer ``props.k`` of an event):
 
@@ -85,21 +84,6 @@ _ACTION_COLUMNS = (
 )
 
 
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input that the scan reads in a single task.
-
-    The driver's files hold a single row group each, so their scan is one
-    task however many cores there are.  Hashing on a unique key spreads the
-    per-row derivation over all cores, deterministically (a re-run task
-    gets the same rows).  An input of several splits is left as it is: it
-    already runs in parallel, and on a large cluster a full shuffle to add
-    more parallelism to a cheap projection would cost more than it saves.
-    """
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def actions_from_events(events: DataFrame) -> DataFrame:
     derived = events.selectExpr(*_EVENT_BASE).selectExpr(*_ACTION_COLUMNS)
     return derived.selectExpr(
@@ -136,7 +120,7 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> ClickstreamTables:
         return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     return ClickstreamTables(
-        actions=actions_from_events(spread_small_input(read("events"), "event_id")),
+        actions=actions_from_events(read("events")),
         users=users_from_customer(read("customer")),
         products=products_from_part(read("part")),
         cities=cities_from_nation(read("nation"), read("region")),

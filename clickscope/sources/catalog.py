@@ -1,72 +1,31 @@
-"""Prepare the four tables once per session and read them by name.
-
-The original application wrote its four tables once (a generator saved
-them to the metastore) and every job then read them by name.  Here the
-tables derived from a folder of driver files are written once per session
-as parquet under the session's shared checkpoint folder
-(``spark.checkpoint.dir``), laid out by ``date``, and registered as session
-views under a prefix unique to that folder.  Every later job scans the
-stored files: date ranges prune folders, columns are pruned, and the jobs'
-lineage starts at the stored table rather than at the raw events.
+"""Store the four tables once, for a caller who will run many jobs on them.
+
+The original application wrote its four tables once (a generator saved them
+to the metastore) and every job then read them by name.  This is the same
+step for tables derived from a folder of driver files: they are written as
+parquet under the session's shared checkpoint folder, laid out by ``date``.
+It is optional and explicit; jobs and registered queries work on any
+``ClickstreamTables``, derived or stored.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import SparkSession
 
 from clickscope.session import ensure_checkpoint_dir
 from clickscope.sources.adapter import from_driver_tables
-from clickscope.sources.tables import (
-    ClickstreamTables,
-    read_catalog_tables,
-    read_parquet_tables,
-    write_parquet_tables,
-)
-
-TABLES = ("user_visit_action", "user_info", "product_info", "city_info")
-
-
-def _digest(source: str) -> str:
-    return hashlib.sha1(source.encode("utf-8")).hexdigest()[:12]
-
-
-def view_prefix(source: str) -> str:
-    return f"clickscope_{_digest(source)}_"
+from clickscope.sources.tables import ClickstreamTables, read_parquet_tables, write_parquet_tables
 
 
-def prepared_root(spark: SparkSession, source: str) -> str:
-    """A fresh folder for the tables derived from ``source``.
+def prepare_driver_tables(spark: SparkSession, sf_dir: str) -> ClickstreamTables:
+    """Derive the tables from ``sf_dir``, store them in a folder of their own, read them back.
 
-    Under the application's checkpoint folder, with a new suffix on every
-    call: a preparation never overwrites files another session's views
-    still list, and a failed attempt leaves nothing a later one reads.
+    Every call writes a new folder, so what it returns is always the state of
+    ``sf_dir`` at the time of the call.  Adaptive execution sizes the files.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/clickscope-tables/{_digest(source)}-{uuid.uuid4().hex[:12]}"
-
-
-def prepare_driver_tables(spark: SparkSession, sf_dir: str) -> str:
-    """Derive the tables from ``sf_dir``, store them, register the views.
-
-    Returns the folder written.
-    """
-    root = prepared_root(spark, sf_dir)
-    write_parquet_tables(
-        from_driver_tables(spark, sf_dir),
-        root,
-        mode="error",
-        files=spark.sparkContext.defaultParallelism,
-    )
-    read_parquet_tables(spark, root).register_views(view_prefix(sf_dir))
-    return root
-
-
-def driver_tables(spark: SparkSession, sf_dir: str) -> ClickstreamTables:
-    """The clickstream tables derived from ``sf_dir``, prepared on first use."""
-    prefix = view_prefix(sf_dir)
-    if not spark.catalog.tableExists(prefix + TABLES[0]):
-        prepare_driver_tables(spark, sf_dir)
-    return read_catalog_tables(spark, prefix=prefix)
+    root = f"{base}/clickscope-tables/{uuid.uuid4().hex}"
+    write_parquet_tables(from_driver_tables(spark, sf_dir), root)
+    return read_parquet_tables(spark, root)

@@ -17,11 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from clickscope import schemas
 from clickscope.config import FilterSpec
 from clickscope.functions.predicates import action_predicates, all_of, user_predicates
-from clickscope.operators.behavior import behavior_rows, count_behaviors
+from clickscope.operators.behavior import behavior_rows, count_behaviors, of_categories
 from clickscope.operators.joins import restrict_to_keys
 from clickscope.operators.topk import top_k
 from clickscope.plans.category import TOP_CATEGORIES, category_order
-from clickscope.session import ensure_checkpoint_dir
 
 
 def stream_actions(
@@ -47,7 +46,7 @@ def category_counts_stream(actions: DataFrame, users: DataFrame, spec: FilterSpe
     kept = restrict_to_keys(
         actions, users, "user_id", "userId", dimension_filter=all_of(user_predicates(spec))
     )
-    return count_behaviors(behavior_rows(kept))
+    return count_behaviors(of_categories(behavior_rows(kept), spec.category_ids))
 
 
 def start_category_top10(
@@ -56,18 +55,16 @@ def start_category_top10(
     users: DataFrame,
     spec: FilterSpec,
     output: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
     k: int = TOP_CATEGORIES,
 ) -> StreamingQuery:
     """Start the stream; every micro-batch writes the top k under its batch id.
 
-    Output: parquet at ``output`` partitioned by ``batch_id``.  The
-    checkpoint defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``.
+    Output: parquet at ``output`` partitioned by ``batch_id``.
+    ``checkpoint`` is a shared folder of this stream's own: it holds the file
+    log and the counts that a restart goes on from.
     """
-    if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/category_top10_stream"
     counts = category_counts_stream(stream_actions(spark, source), users, spec)
 
     def publish(batch: DataFrame, batch_id: int) -> None:

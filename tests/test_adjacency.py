@@ -1,153 +1,83 @@
-"""The range-split pair operator against the plain one-window plan."""
+"""The sliced pair counts against the plain one-window plan."""
 
 from __future__ import annotations
 
 from collections import Counter
 
 import pytest
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from clickscope.operators.adjacency import (
-    consecutive_pairs,
-    consecutive_pairs_by_window,
-    count_consecutive_pairs,
-)
+from clickscope.operators.adjacency import count_consecutive_pairs
 from clickscope.sources.adapter import from_driver_tables
 from tests.conftest import sf_dir
 
 
-def _pairs(df):
-    return Counter(tuple(r) for r in df.collect())
+def pairs_by_window(df, group, order, value):
+    """The plain plan: one window over each whole group."""
+    window = Window.partitionBy(*group).orderBy(*order)
+    has_next: Column = F.lead(F.lit(1)).over(window).isNotNull()
+    rows = df.select(F.col(value).alias("a"), F.lead(value).over(window).alias("b"), has_next.alias("more"))
+    return rows.where("more").select("a", "b")
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 8, 17])
-def test_matches_window_on_driver_clicks(spark, ranges):
-    actions = from_driver_tables(spark, sf_dir("0.01")).actions.where("click_product_id != -1")
-    args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id")
-    fast = consecutive_pairs(actions, ranges=ranges, **args)
-    plain = consecutive_pairs_by_window(actions, **args)
-    assert _pairs(fast) == _pairs(plain)
-
-
-@pytest.mark.parametrize("ranges", [2, 5, 8])
-def test_hot_group_is_split_and_stitched(spark, ranges):
-    # One session holds most rows; it must span several ranges and still
-    # give every consecutive pair exactly once.
-    hot = spark.range(0, 5000).select(
-        F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 7) % 11).alias("v")
-    )
-    cold = spark.range(0, 600).select(
-        (F.col("id") % 50).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 5).alias("v")
-    )
-    data = hot.unionByName(cold)
-    args = dict(group=["g"], order=["t"], value="v")
-    fast = consecutive_pairs(data, ranges=ranges, **args)
-    assert _pairs(fast) == _pairs(consecutive_pairs_by_window(data, **args))
-    assert sum(1 for r in fast.collect() if r.g == "hot") == 4999
-
-    buckets = (
-        data.repartitionByRange(ranges, "g", "t")
-        .withColumn("b", F.spark_partition_id())
-        .where("g = 'hot'")
-        .select("b")
-        .distinct()
-        .count()
-    )
-    assert buckets > 1
+def brute_counts(df, group, order, value, pairs):
+    found = Counter(tuple(r) for r in pairs_by_window(df, group, order, value).collect())
+    return {p: found[p] for p in pairs if found[p]}
 
 
-def test_null_values_are_kept(spark):
-    data = spark.createDataFrame(
-        [("a", 1, 10), ("a", 2, None), ("a", 3, 30), ("b", 1, None)], "g string, t int, v int"
-    )
-    args = dict(group=["g"], order=["t"], value="v")
-    expected = Counter([("a", 10, None), ("a", None, 30)])
-    assert _pairs(consecutive_pairs(data, ranges=3, **args)) == expected
-    assert _pairs(consecutive_pairs_by_window(data, **args)) == expected
+def sliced_counts(df, slice_by, **args):
+    return {(r[0], r[1]): r[2] for r in count_consecutive_pairs(df, slice_by=slice_by, **args).collect()}
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 4])
-def test_null_groups_and_null_order_keys(spark, ranges):
-    data = spark.createDataFrame(
-        [(None, 1, 1, 10), (None, 2, 2, 20), (None, None, 3, 30), ("a", None, 4, 40), ("a", 5, 5, 50),
-         ("a", 5, 6, 60), ("b", 1, 7, 70)],
-        "g string, t int, s int, v int",
-    )
-    args = dict(group=["g"], order=["t", "s"], value="v")
-    assert _pairs(consecutive_pairs(data, ranges=ranges, **args)) == _pairs(
-        consecutive_pairs_by_window(data, **args)
-    )
+EVERY_PAGE_PAIR = [(a, b) for a in range(1, 11) for b in range(1, 11)]
 
 
-@pytest.mark.parametrize("advisory", ["1k", "64m"])
-def test_adaptive_ranges_match_window(spark, advisory):
-    # No fixed range count: adaptive execution sizes the ranges.  With a tiny
-    # advisory size the hot group spans many merged ranges; with the default
-    # everything may merge into one.  Both must give the plain window's pairs.
-    hot = spark.range(0, 4000).select(
-        F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 5) % 13).alias("v")
-    )
-    cold = spark.range(0, 500).select(
-        (F.col("id") % 40).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 3).alias("v")
-    )
-    data = hot.unionByName(cold)
-    args = dict(group=["g"], order=["t"], value="v")
-    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_counts_match_the_window_on_driver_clicks(spark, reuse, adaptive):
+    actions = from_driver_tables(spark, sf_dir("0.01")).actions.where("click_product_id != -1")
+    args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id", pairs=EVERY_PAGE_PAIR)
+    keys = {"spark.sql.exchange.reuse": reuse, "spark.sql.adaptive.enabled": adaptive}
     old = {k: spark.conf.get(k) for k in keys}
     try:
-        spark.conf.set(keys[0], advisory)
-        spark.conf.set(keys[1], "16")
-        assert _pairs(consecutive_pairs(data, **args)) == _pairs(consecutive_pairs_by_window(data, **args))
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert sliced_counts(actions, "date", **args) == brute_counts(actions, **args)
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
 
 
-def _brute_counts(df, keep=None, **args):
-    pairs = consecutive_pairs_by_window(df, **args).collect()
-    out = Counter()
-    for r in pairs:
-        f, t = r[-2], r[-1]
-        out[(f, t)] += 1
-    return {k: v for k, v in out.items() if keep is None or keep(*k)}
-
-
-def _counts(df):
-    return {(r[0], r[1]): r[2] for r in df.collect()}
-
-
-@pytest.mark.parametrize("ranges", [None, 1, 3, 16])
-def test_counts_match_brute_force_on_driver_clicks(spark, ranges):
-    actions = from_driver_tables(spark, sf_dir("0.01")).actions.where("click_product_id != -1")
-    args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id")
-    got = _counts(count_consecutive_pairs(actions, ranges=ranges, **args))
-    assert got == _brute_counts(actions, **args)
-
-
-@pytest.mark.parametrize("ranges", [2, 7])
-def test_counts_with_keep_on_a_hot_group(spark, ranges):
+@pytest.mark.parametrize("rows_in_slice", [1, 7, 500, 100_000])
+def test_hot_group_is_cut_and_stitched(spark, rows_in_slice):
     hot = spark.range(0, 3000).select(
         F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 7) % 5).alias("v")
     )
     cold = spark.range(0, 400).select(
         (F.col("id") % 30).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 4).alias("v")
     )
-    data = hot.unionByName(cold)
-    args = dict(group=["g"], order=["t"], value="v")
-    keep_py = lambda f, t: (f, t) in {(1, 3), (3, 0), (2, 2)}
-    keep_col = lambda f, t: F.expr(
-        f"(`{f}` = 1 and `{t}` = 3) or (`{f}` = 3 and `{t}` = 0) or (`{f}` = 2 and `{t}` = 2)"
-    )
-    got = _counts(count_consecutive_pairs(data, keep=keep_col, ranges=ranges, **args))
-    assert got == _brute_counts(data, keep=keep_py, **args)
-    assert got  # the kept pairs do occur
+    data = hot.unionByName(cold).withColumn("s", F.floor(F.col("t") / rows_in_slice))
+    args = dict(group=["g"], order=["t"], value="v", pairs=[(1, 3), (3, 0), (2, 2), (0, 2)])
+    got = sliced_counts(data, "s", **args)
+    assert got == brute_counts(data, **args)
+    assert got
 
 
-def test_counts_with_null_values_and_groups(spark):
+def test_null_values_groups_and_slices(spark):
     data = spark.createDataFrame(
-        [(None, 1, 1), (None, 2, None), (None, 3, 1), ("a", 1, None), ("a", 2, None), ("b", 1, 5)],
-        "g string, t int, v int",
+        [(None, None, 1, 1), (None, None, 2, None), (None, 1, 3, 1), (None, 1, 4, 2), ("a", 1, 1, None),
+         ("a", 1, 2, 1), ("a", 2, 3, 2), ("b", 1, 1, 2)],
+        "g string, s int, t int, v int",
     )
+    args = dict(group=["g"], order=["t"], value="v", pairs=[(1, 2), (1, 1), (2, 1)])
+    assert sliced_counts(data, "s", **args) == brute_counts(data, **args) == {(1, 2): 2}
+
+
+def test_repeated_and_missing_pairs(spark):
+    data = spark.createDataFrame([("a", 1, 1, 1), ("a", 1, 2, 2)], "g string, s int, t int, v long")
     args = dict(group=["g"], order=["t"], value="v")
-    for ranges in (1, 3):
-        assert _counts(count_consecutive_pairs(data, ranges=ranges, **args)) == _brute_counts(data, **args)
+    assert sliced_counts(data, "s", pairs=[(1, 2), (1, 2)], **args) == {(1, 2): 1}
+    empty = count_consecutive_pairs(data, slice_by="s", pairs=[], **args)
+    assert empty.count() == 0 and [t for _, t in empty.dtypes] == ["bigint", "bigint", "bigint"]
+    assert sliced_counts(data.limit(0), "s", pairs=[(1, 2)], **args) == {}

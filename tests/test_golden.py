@@ -65,11 +65,6 @@ def test_page_jump_counts(filtered):
     assert rows == G.JUMPS
 
 
-def test_page_jump_counts_single_range(filtered):
-    rows = sorted(tuple(r) for r in plans.page_jump_counts(filtered, G.SPEC, ranges=1).collect())
-    assert rows == G.JUMPS
-
-
 def test_page_visit_counts(filtered):
     rows = sorted(tuple(r) for r in plans.page_visit_counts(filtered, G.SPEC).collect())
     assert rows == G.VISITS

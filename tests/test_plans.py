@@ -16,7 +16,7 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans_text(spark):
-    return {name: _plan(build(spark, sf_dir("0.01"))) for name, build in entry.queries().items()}
+    return {name: _plan(build(spark, sf_dir("0.01"))) for name, build in entry.clickstream_queries().items()}
 
 
 def test_no_python_in_any_plan(plans_text):
@@ -37,15 +37,16 @@ def test_per_group_top_k_limits_before_shuffle(plans_text):
         assert text.count("WindowGroupLimit") >= 2, name  # partial + final
 
 
-def test_top10_membership_is_broadcast(plans_text):
+def test_top10_membership_is_a_semi_join(plans_text):
     text = plans_text["category_session_top10"]
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert "LeftSemi" in text
     assert "TakeOrderedAndProject" in text
 
 
 def test_aggregates_are_partial_before_shuffle(plans_text):
-    for name in ("category_top10", "page_jump_counts", "page_visit_counts", "area_product_city_clicks"):
+    for name in ("category_top10", "page_visit_counts", "area_product_city_clicks"):
         assert "partial_count" in plans_text[name], name
+    assert "partial_sum" in plans_text["page_jump_counts"]
 
 
 def test_area_counts_before_joining_dimensions(spark):
@@ -57,9 +58,44 @@ def test_area_counts_before_joining_dimensions(spark):
     assert agg > join  # printed top-down: deeper operators come later
 
 
-def test_jump_counts_window_the_clicks_once(plans_text):
-    # the range-split window over every click runs once; only a small
-    # aggregate of pair counts and range ends leaves its stage
+def test_jump_counts_shuffle_the_clicks_once(plans_text):
+    # one shuffle of the clicks by (session, date), one of a row for each of
+    # those by session, one of a row for each task
     for name in ("page_jump_counts", "page_jump_rate"):
-        assert plans_text[name].count("Window [lead(__value") == 1, name
-        assert "rangepartitioning(session_id" in plans_text[name], name
+        text = plans_text[name]
+        assert text.count("Window [lead(__value") == 1, name
+        assert "rangepartitioning" not in text, name
+    assert plans_text["page_jump_counts"].count("hashpartitioning(session_id") == 2
+
+
+def test_area_jobs_leave_other_actions_in_the_scan(spark, tmp_path):
+    from clickscope import plans
+    from clickscope.sources import from_driver_tables, read_parquet_tables, write_parquet_tables
+
+    root = str(tmp_path / "tables")
+    write_parquet_tables(from_driver_tables(spark, sf_dir("0.001")), root)
+    tables = read_parquet_tables(spark, root)
+    for job in (
+        plans.area_product_city_rows,
+        plans.area_product_clicks,
+        plans.area_product_top3,
+        plans.area_product_city_clicks,
+        plans.area_city_share,
+    ):
+        text = _plan(job(tables))
+        assert "Not(EqualTo(click_product_id,-1))" in text, job.__name__
+
+
+def test_area_share_builds_on_the_top_rows(spark):
+    df = entry.clickstream_queries()["area_city_share"](spark, sf_dir("0.01"))
+    rows = df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert len(rows) == 75
+    top_join = next(line for line in final.splitlines() if "Join" in line)  # printed top-down
+    assert "BroadcastHashJoin [area" in top_join and "BuildRight" in top_join
+
+
+def test_queries_register_nothing(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    entry.clickstream_queries()["category_top10"](spark, sf_dir("0.001")).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 
+import pytest
+
 from clickscope import plans
 from clickscope.config import DRIVER_SPEC, REFERENCE_SPEC
 from clickscope.plans import apps
 from clickscope.sinks import ResultStore, as_result, new_task_id, preview, publish_table, with_task_id
-from clickscope.sources import driver_tables
+from clickscope.sources import from_driver_tables
 from tests.conftest import sf_dir
 
 
@@ -30,6 +32,18 @@ def test_append_and_read_back_by_task(spark, golden):
     assert store.read(spark, "category_top10").count() == 2 * top.count()
 
 
+def test_rerun_without_rows_leaves_none(spark, golden):
+    store = ResultStore(tempfile.mkdtemp(prefix="clickscope-results-"))
+    top = as_result("category_top10", plans.category_top10(plans.filtered_actions(golden, REFERENCE_SPEC)))
+    store.append("category_top10", top, "again")
+    store.append("category_top10", top, "other")
+    store.append("category_top10", top.where("false"), "again")
+    assert store.read(spark, "category_top10", "again").count() == 0
+    assert store.read(spark, "category_top10").count() == top.count()
+    with pytest.raises(ValueError):
+        store.append("category_top10", top, "../elsewhere")
+
+
 def test_with_task_id_is_one_literal(spark, golden):
     df = with_task_id(golden.cities, "run-1")
     assert df.columns[0] == "task_id"
@@ -37,7 +51,7 @@ def test_with_task_id_is_one_literal(spark, golden):
 
 
 def test_run_all_chains_through_the_store(spark):
-    tables = driver_tables(spark, sf_dir("0.01"))
+    tables = from_driver_tables(spark, sf_dir("0.01"))
     store = ResultStore(tempfile.mkdtemp(prefix="clickscope-results-"))
     task = apps.run_all(tables, DRIVER_SPEC, store)
     top = store.read(spark, "category_top10", task)
@@ -84,9 +98,41 @@ def test_cli_runs_all_apps(spark, capsys):
     store = ResultStore(f"{root}/results")
     assert store.read(spark, "category_top10", "cli-run").count() == 10
     assert store.read(spark, "page_jump_rate", "cli-run").count() == 3
+    assert "area_rank" in capsys.readouterr().out
     assert main(["area-top3", "--driver-dir", sf_dir("0.001"), "--show", "1"]) == 0
 
 
+def test_cli_area_job_takes_its_flags(spark):
+    from clickscope.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="clickscope-cli-")
+    args = ["area-top3", "--driver-dir", sf_dir("0.01"), "--show", "1"]
+    assert main([*args, "--output", f"{root}/all"]) == 0
+    assert main([*args, "--output", f"{root}/some", "--start-date", "2024-01-20", "--cities", "1,2,3"]) == 0
+    total = spark.read.parquet(f"{root}/all").agg({"city_click_count": "sum"}).first()[0]
+    some = spark.read.parquet(f"{root}/some")
+    assert 0 < some.agg({"city_click_count": "sum"}).first()[0] < total
+    assert {r.city_id for r in some.collect()} <= {1, 2, 3}
+    with pytest.raises(SystemExit):
+        main([*args, "--start-age", "20"])
+
+
+def test_cli_list_flags_hive_and_jdbc(spark):
+    from clickscope.__main__ import _builder, _parser, _spec, main
+
+    args = _parser().parse_args(
+        ["category-top10", "--catalog", "db", "--genders", "F", "--professionals", "a,b", "--cities", "1,2",
+         "--keywords", "x", "--categories", "3", "--jdbc-url", "jdbc:none:x", "--jdbc-property", "user=me"]
+    )
+    spec = _spec(args)
+    assert (spec.genders, spec.professionals, spec.city_ids) == (("F",), ("a", "b"), (1, 2))
+    assert (spec.keywords, spec.category_ids) == (("x",), (3,))
+    assert _builder(args)._options["spark.sql.catalogImplementation"] == "hive"
+    # No database is started: the store is reached, and its failure is raised.
+    with pytest.raises(Exception, match="(?i)driver"):
+        main(["category-top10", "--driver-dir", sf_dir("0.001"), "--jdbc-url", "jdbc:none:x"])
+
+
 def test_cli_reads_a_conditions_file(spark):
     from clickscope.__main__ import main
 
@@ -108,8 +154,6 @@ def test_cli_reads_a_conditions_file(spark):
 def test_jdbc_write_failure_raises(spark, golden):
     # No database is started: a URL no driver accepts must fail the write
     # loudly instead of being logged and dropped.
-    import pytest
-
     from clickscope.sinks import JdbcResultStore
 
     store = JdbcResultStore("jdbc:clickscope-no-such-driver://nowhere/db")

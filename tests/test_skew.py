@@ -11,6 +11,7 @@ from clickscope.config import DRIVER_SPEC, FilterSpec
 from clickscope.sources import from_driver_tables
 from clickscope.sources.tables import ClickstreamTables
 from tests.conftest import sf_dir
+from tests.test_adjacency import brute_counts
 
 # Settings that make the local data look like a cluster-size skew: no
 # broadcast, and a partition counts as skewed from a few kilobytes.
@@ -42,7 +43,8 @@ def conf(spark, settings):
 def _hot_user_tables(spark):
     t = from_driver_tables(spark, sf_dir("0.01"))
     # user 7 now holds a third of all actions
-    hot = t.actions.withColumn(
+    # several map tasks, as a large input has: AQE splits a partition by them
+    hot = t.actions.repartition(8, "action_seq").withColumn(
         "user_id", F.when(F.col("action_seq") % 3 == 0, F.lit(7)).otherwise(F.col("user_id"))
     )
     return ClickstreamTables(hot, t.users, t.products, t.cities)
@@ -68,9 +70,13 @@ def test_hot_session_gives_whole_results(spark):
     )
     tables = ClickstreamTables(hot, t.users, t.products, t.cities)
     actions = plans.filtered_actions(tables, DRIVER_SPEC)
-    base = sorted(plans.page_jump_counts(actions, DRIVER_SPEC, ranges=1).collect())
-    for ranges in (4, 16):
-        assert sorted(plans.page_jump_counts(actions, DRIVER_SPEC, ranges=ranges).collect()) == base
+    clicks = actions.where("click_product_id != -1")
+    args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id", pairs=DRIVER_SPEC.jump_pairs)
+    jumps = {(r[0], r[1]): r[2] for r in plans.page_jump_counts(actions, DRIVER_SPEC).collect()}
+    assert jumps == brute_counts(clicks, **args)
+    # no task gets more than one date of the hot session
+    slices = clicks.where("session_id = 'hot'").groupBy("date").count()
+    assert slices.agg(F.max("count")).first()[0] * 10 < clicks.where("session_id = 'hot'").count()
     top = plans.category_top10(actions)
     sessions = plans.category_session_top10(actions, top).collect()
     assert len(sessions) == 100
@@ -118,3 +124,18 @@ def test_hot_product_is_split_in_the_row_level_area_join(spark):
         text = df._jdf.queryExecution().executedPlan().toString()
     assert got == expected
     assert "SortMergeJoin(skew=true)" in text
+
+
+def test_other_actions_never_meet_on_one_product(spark):
+    # Three of five actions are no clicks and carry product -1.
+    t = from_driver_tables(spark, sf_dir("0.01"))
+    assert t.actions.where("click_product_id = -1").count() * 2 > t.actions.count()
+    with conf(spark, SKEW_CONF):
+        df = plans.area_product_city_rows(t)
+        rows = df.count()
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+    clicks = t.actions.where("click_product_id != -1")
+    joined = clicks.join(t.products, clicks["click_product_id"] == t.products["product_id"], "left_semi")
+    assert rows == joined.join(t.cities, "city_id", "left_semi").count()
+    assert "= -1)" in text  # the condition, below the joins
+    assert text.index("Join") < text.index("= -1)")

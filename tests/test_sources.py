@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from clickscope import plans
 from clickscope.config import DRIVER_SPEC
 from clickscope.sources import (
-    driver_tables,
     from_driver_tables,
+    prepare_driver_tables,
     read_parquet_tables,
     write_parquet_tables,
 )
@@ -42,11 +42,16 @@ def test_action_seq_unique_and_time_ordered(spark):
     assert backwards == 0
 
 
-def test_catalog_views_equal_direct_derivation(spark):
+def test_stored_tables_equal_direct_derivation(spark):
     direct = from_driver_tables(spark, sf_dir("0.001")).actions
-    viewed = driver_tables(spark, sf_dir("0.001")).actions
-    assert direct.schema == viewed.schema
-    assert direct.exceptAll(viewed).count() == 0 and viewed.exceptAll(direct).count() == 0
+    kept = prepare_driver_tables(spark, sf_dir("0.001")).actions
+    assert direct.schema == kept.schema
+    assert direct.exceptAll(kept).count() == 0 and kept.exceptAll(direct).count() == 0
+
+
+def test_derivation_does_not_depend_on_the_size(spark):
+    text = _plan_text(from_driver_tables(spark, sf_dir("0.1")).actions)
+    assert "Exchange" not in text
 
 
 @pytest.fixture(scope="module")
@@ -75,22 +80,3 @@ def test_stored_scan_prunes_partitions_and_columns(spark, stored):
     assert "PushedFilters: [IsNotNull(age), GreaterThanOrEqual(age,20), LessThanOrEqual(age,50)" in text
     # only the columns the job needs are read from the fact table
     assert "ReadSchema: struct<user_id:bigint,click_category_id:bigint,order_category_ids:string,pay_category_ids:string>" in text
-
-
-def test_sessions_prepare_independently(spark):
-    first = driver_tables(spark, sf_dir("0.001")).actions
-    other = spark.newSession()
-    second = driver_tables(other, sf_dir("0.001")).actions
-    # the second preparation must not disturb what the first session reads
-    assert first.count() == second.count() == driver_tables(spark, sf_dir("0.001")).actions.count()
-
-
-def test_spread_only_single_split_inputs(spark):
-    from clickscope.sources.adapter import spread_small_input
-
-    single = spark.read.parquet(f"{sf_dir('0.01')}/events.parquet")
-    assert single.rdd.getNumPartitions() == 1
-    spread = spread_small_input(single, "event_id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    several = spark.range(0, 1000, 1, 3)
-    assert spread_small_input(several, "id") is several

@@ -1,16 +1,15 @@
-"""How much of a hot session lands in one task: range split vs plain window.
+"""A hot session: the sliced jump counts against the plain one-window plan.
 
-    python tools/skew_report.py [/root/testdata/sf0.1]
+    python tools/skew_report.py [clicks]
 
-The driver's actions are taken as they are, except that every third click is
-moved into one session, which then holds a third of all clicks.  The jump
-counts are computed twice — by ``page_jump_counts`` (range split) and with
-the plain one-window plan — under the same settings, with Spark's event log
-written to a fresh scratch folder.  For each run the report gives the total
-shuffle records read and the largest number read by a single task.
+Both plans count the jumps of 4,000,000 made-up clicks (by default), in short
+sessions and with one session that holds a third of them, under the same
+settings, three times each, with Spark's event log written to a fresh scratch
+folder.  For each the report gives the time of the last run and the largest
+number of shuffle records that a single task read.
 
-Partition coalescing is off and 64 shuffle partitions are used, so the
-~100k-row input stays cut into many partitions, as a cluster cuts 100 TB.
+Partition coalescing is off and 64 shuffle partitions are used, so the input
+stays cut into many partitions, as a cluster cuts a large one.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ import json
 import os
 import sys
 import tempfile
+import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
@@ -54,17 +54,14 @@ def _task_reads(log_dir: str) -> dict[str, list[int]]:
 
 
 def main() -> None:
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from clickscope import plans
     from clickscope.config import DRIVER_SPEC
-    from clickscope.functions.predicates import is_target_jump
-    from clickscope.operators import adjacency
+    from clickscope.operators.adjacency import count_consecutive_pairs
     from clickscope.session import build_session
-    from clickscope.sources.catalog import driver_tables
-    from clickscope.sources.tables import ClickstreamTables
 
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    count = int(sys.argv[1]) if len(sys.argv) > 1 else 4_000_000
     log_dir = tempfile.mkdtemp(prefix="clickscope-skew-")
     spark = build_session(
         master="local[8]",
@@ -73,51 +70,46 @@ def main() -> None:
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": log_dir,
             "spark.eventLog.compress": "false",
-            # keep all 64 shuffle partitions: on a cluster 100 TB fills
-            # them, here the few MB would otherwise be merged into one
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.driver.memory": "8g",
         },
     )
-    t = driver_tables(spark, sf_dir)  # stored once; the job stages start at the scan
-    hot = t.actions.withColumn(
-        "session_id",
-        F.when((F.col("click_product_id") != -1) & (F.col("action_seq") % 3 == 0), F.lit("hot")).otherwise(
-            F.col("session_id")
-        ),
-    )
-    tables = ClickstreamTables(hot, t.users, t.products, t.cities)
-    actions = plans.filtered_actions(tables, DRIVER_SPEC)
-    clicks = actions.where("click_product_id != -1").count()
-    hot_clicks = actions.where("click_product_id != -1 and session_id = 'hot'").count()
-
-    plain = (
-        adjacency.consecutive_pairs_by_window(
-            actions.where("click_product_id != -1"),
-            group=["session_id"],
-            order=["action_time", "action_seq"],
-            value="page_id",
-            from_col="from_page_id",
-            to_col="to_page_id",
+    pairs = DRIVER_SPEC.jump_pairs
+    # Ten clicks a session, within a day or over five days; times over 30 days.
+    for kind, days in (("sessions of a day", 1), ("sessions over five days", 5)):
+        clicks = spark.range(count).select(
+            (F.col("id") % (count // 10)).cast("string").alias("session_id"),
+            (F.col("id") % (count // 10) % 25 + F.floor(F.col("id") * 10 / count) * days / 10).cast("int").alias("day"),
+            "id",
+            (F.xxhash64("id") % 10 + 10).alias("page_id"),
         )
-        .where(is_target_jump(DRIVER_SPEC, "from_page_id", "to_page_id"))
-        .groupBy("from_page_id", "to_page_id")
-        .agg(F.count(F.lit(1)).alias("jump_count"))
-    )
-    results = {}
-    for label, df in (("range split", plans.page_jump_counts(actions, DRIVER_SPEC)), ("plain window", plain)):
-        spark.sparkContext.setJobGroup(label, label)
-        results[label] = sorted(tuple(r) for r in df.collect())
+        clicks = clicks.withColumn("page_id", F.col("page_id") % 10 + 1)
+        hot = clicks.withColumn(
+            "session_id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("session_id"))
+        ).withColumn("day", F.when(F.col("id") % 3 == 0, (F.col("id") * 30 / count).cast("int")).otherwise(F.col("day")))
+        for label, data in ((kind, clicks), (f"{kind}, a third in one", hot)):
+            window = Window.partitionBy("session_id").orderBy("day", "id")
+            plain = (
+                data.select(F.col("page_id").alias("a"), F.lead("page_id").over(window).alias("b"))
+                .where(" or ".join(f"(a = {a} and b = {b})" for a, b in pairs))
+                .groupBy("a", "b")
+                .agg(F.count(F.lit(1)).alias("n"))
+            )
+            sliced = count_consecutive_pairs(data, ["session_id"], "day", ["day", "id"], "page_id", pairs)
+            got = {}
+            for plan, df in (("sliced", sliced), ("plain window", plain)):
+                for attempt in range(3):
+                    group = f"{label}: {plan}"
+                    spark.sparkContext.setJobGroup(group if attempt == 2 else "warm", group)
+                    started = time.perf_counter()
+                    got[plan] = sorted(tuple(r) for r in df.collect())
+                    elapsed = time.perf_counter() - started
+                print(f"{group}: {elapsed:.1f} s", flush=True)
+            assert got["sliced"] == got["plain window"], "the two plans disagree"
     spark.stop()
-
-    assert results["range split"] == results["plain window"], "the two plans disagree"
-    reads = _task_reads(log_dir)
-    print(f"clicks after filters: {clicks}; in the hot session: {hot_clicks}")
-    for label in results:
-        per_task = reads.get(label, [])
-        print(
-            f"{label:13s} shuffle records read {sum(per_task):>8d} over {len(per_task):>4d} tasks; "
-            f"largest single task {max(per_task) if per_task else 0:>7d}"
-        )
+    for group, per_task in _task_reads(log_dir).items():
+        if group != "warm":
+            print(f"{group}: largest task {max(per_task)} of {sum(per_task)} shuffle records")
 
 
 if __name__ == "__main__":
