@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from clickscope.llm import language as L
+from clickscope.llm.queries import op8_language
+from tests.conftest import sf_dir
+from tests.llm.conftest import make_docs
+
+
+def _model():
+    texts = {"a": "the quick brown fox jumps over the lazy dog and runs", "b": "zwei kleine katzen schlafen unter dem großen tisch"}
+    counts = np.array([np.bincount(L.grams((t + " ").encode() * 30), minlength=L.GRAM_BUCKETS) for t in texts.values()])
+    smooth = counts + L.SMOOTHING
+    return L.LanguageModel(list(texts), np.ascontiguousarray((smooth / smooth.sum(axis=1, keepdims=True)).T))
+
+
+def test_proportions_of_a_mixture():
+    model = _model()
+    text = b"the quick brown fox runs over the dog " * 3 + "kleine katzen schlafen ".encode()
+    seen, counts = np.unique(L.grams(text), return_counts=True)
+    share, likelihood = model.proportions(counts.astype(float), model.probabilities[seen])
+    assert abs(share.sum() - 1) < 1e-9 and share[0] > share[1] > 0.05
+    even = float(counts @ np.log(model.probabilities[seen] @ np.array([0.5, 0.5])))
+    assert likelihood > even
+    assert model.predict(text)[0] == "a"
+    assert model.predict(b"the lazy dog jumps over the quick fox") == ("a", 1.0)  # the penalty keeps one language
+
+
+def test_texts_without_letters():
+    model = _model()
+    for text in (None, b"", b"12 34 !?", " \t".encode(), "。、".encode()):
+        assert model.predict(text) == (L.UNKNOWN, 0.0)
+    assert model.predict("你好".encode())[0] in ("a", "b")
+
+
+def test_held_out_accuracy(spark):
+    rows = op8_language(spark, sf_dir("0.01")).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir('0.01')}/documents.parquet").collect()}
+    assert len(rows) == len(lang)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    judged = [r for r in rows if r.held_out and lang[r.doc_id] is not None and r.lang_pred != L.UNKNOWN]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in judged) >= 0.97 * len(judged) > 100
+    assert all(0.0 <= r.score <= 1.0 for r in rows)
+
+
+def test_awkward_rows_and_nothing_to_learn(spark, awkward, nothing):
+    model = L.fit(L.learnable(awkward))
+    assert model.languages == ["en"]
+    rows = L.identify(awkward, model).collect()
+    assert len(rows) == awkward.count()
+    assert {r.lang_pred for r in rows} == {"en", L.UNKNOWN}
+    empty = L.fit(L.learnable(nothing))
+    assert empty.languages == []
+    assert L.identify(nothing, empty).count() == 0
+    assert {r.lang_pred for r in L.identify(make_docs(spark, [(1, "words")]), empty).collect()} == {L.UNKNOWN}

@@ -1,0 +1,79 @@
+"""The pipeline against brute-force versions of its stages, each on its own input."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from clickscope.llm import decontaminate, toxicity
+from clickscope.llm.common import stored
+from clickscope.llm.queries import vocabulary_path
+from tests.conftest import sf_dir
+from tests.llm.test_decontaminate import _brute as leaks
+from tests.llm.test_simhash import _roots, _slow_fingerprint
+from tests.llm.test_substring import _brute as without_repeats
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """The documents and each stage's result."""
+    folder = sf_dir("0.001")
+    docs = [spark.read.parquet(f"{folder}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        docs.append(stored(stage(spark, docs[-1], folder), name))
+    return [sorted(d.collect(), key=lambda r: r.doc_id) for d in docs]
+
+
+def test_toxic_documents_go(spark, steps):
+    labels = spark.read.parquet(f"{sf_dir('0.001')}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir('0.001')}/documents.parquet")
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels))
+    assert steps[1] == [r for r in steps[0] if scorer.score([r.text.encode()])[0] < toxicity.THRESHOLD]
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    gone = {r.doc_id for r in steps[0]} - {r.doc_id for r in steps[1]}
+    assert gone & toxic and len(gone) < len(steps[0]) / 3
+
+
+def test_one_document_of_each_group_stays(steps):
+    roots = _roots([_slow_fingerprint(r.text) for r in steps[1]])
+    assert steps[2] == [r for k, r in enumerate(steps[1]) if roots[k] == k]
+
+
+def test_repeated_passages_go(steps):
+    for before, after, (_, gone, kept) in zip(steps[2], steps[3], without_repeats([r.text for r in steps[2]]), strict=True):
+        if not gone:
+            assert before == after
+        else:
+            text = kept.decode()
+            assert (after.doc_id, after.lang, after.source, after.text, after.n_chars) == (
+                before.doc_id, before.lang, before.source, text, len(text),
+            )
+
+
+def test_contaminated_documents_go(spark, steps):
+    items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{sf_dir('0.001')}/benchmark.parquet").collect()]
+    assert steps[4] == [r for r in steps[3] if not leaks(r.text.encode(), items)]
+
+
+def test_token_ids(steps):
+    library = tokenizers.Tokenizer.from_file(vocabulary_path())
+    for before, after in zip(steps[4], steps[5], strict=True):
+        ids = library.encode(before.text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (after.doc_id, after.n_tokens, after.ids) == (before.doc_id, len(ids), ids)
+        assert after.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_run_and_awkward_documents(spark, steps, awkward, nothing):
+    got = sorted(corpus_pipeline.run(spark, sf_dir("0.001")).collect(), key=lambda r: r.doc_id)
+    assert got == steps[5]
+    for docs in (awkward, nothing):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, sf_dir("0.001")), name)
+            assert name == "bpe" or docs.columns == awkward.columns
+    assert docs.count() == 0
