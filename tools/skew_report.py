@@ -54,7 +54,7 @@ def _task_reads(log_dir: str) -> dict[str, list[int]]:
 
 
 def main() -> None:
-    from pyspark.sql import Window
+    from pyspark.sql import DataFrame, Window
     from pyspark.sql import functions as F
 
     from clickscope.config import DRIVER_SPEC
@@ -88,21 +88,26 @@ def main() -> None:
             "session_id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("session_id"))
         ).withColumn("day", F.when(F.col("id") % 3 == 0, (F.col("id") * 30 / count).cast("int")).otherwise(F.col("day")))
         for label, data in ((kind, clicks), (f"{kind}, a third in one", hot)):
-            window = Window.partitionBy("session_id").orderBy("day", "id")
-            plain = (
-                data.select(F.col("page_id").alias("a"), F.lead("page_id").over(window).alias("b"))
-                .where(" or ".join(f"(a = {a} and b = {b})" for a, b in pairs))
-                .groupBy("a", "b")
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            sliced = count_consecutive_pairs(data, ["session_id"], "day", ["day", "id"], "page_id", pairs)
+
+            def plain(data: DataFrame = data) -> DataFrame:
+                window = Window.partitionBy("session_id").orderBy("day", "id")
+                return (
+                    data.select(F.col("page_id").alias("a"), F.lead("page_id").over(window).alias("b"))
+                    .where(" or ".join(f"(a = {a} and b = {b})" for a, b in pairs))
+                    .groupBy("a", "b")
+                    .agg(F.count(F.lit(1)).alias("n"))
+                )
+
+            def sliced(data: DataFrame = data) -> DataFrame:
+                return count_consecutive_pairs(data, ["session_id"], "day", ["day", "id"], "page_id", pairs)
+
             got = {}
-            for plan, df in (("sliced", sliced), ("plain window", plain)):
+            for plan, build in (("sliced", sliced), ("plain window", plain)):
                 for attempt in range(3):
                     group = f"{label}: {plan}"
                     spark.sparkContext.setJobGroup(group if attempt == 2 else "warm", group)
                     started = time.perf_counter()
-                    got[plan] = sorted(tuple(r) for r in df.collect())
+                    got[plan] = sorted(tuple(r) for r in build().collect())
                     elapsed = time.perf_counter() - started
                 print(f"{group}: {elapsed:.1f} s", flush=True)
             assert got["sliced"] == got["plain window"], "the two plans disagree"
