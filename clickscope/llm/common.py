@@ -76,39 +76,31 @@ def map_batches(
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of an undirected graph by repeated contraction.
-
-    ``edges`` has long columns ``u`` and ``v``.  Each round points every node
-    at the smallest of itself and its neighbours, renames the edges by that
-    and drops loops and repeats, which leaves at most half of the nodes that
-    still have edges.  Returns ``node`` and ``root`` (any one name per
-    component, the same for all its nodes) for every node with an edge.
-    Minima are combined before the shuffle, and the renaming joins read
-    stored tables, so adaptive execution can split a hub's rows.
+    """Connected components of an undirected graph, by large and small stars.
+
+    ``edges`` has long columns ``u`` and ``v``.  A large star joins the larger
+    neighbours of every node to the smallest of its neighbourhood, a small star
+    the smaller ones; both keep what is connected connected and add no edges.
+    Rounds of the two, a few for groups as they occur and growing with the
+    logarithm of the longest chain, leave one star for each component, around
+    its smallest node.  Returns ``node`` and ``root`` (that smallest node) for
+    every node with an edge.  Minima are combined before the shuffle, and the
+    joins read stored tables, so adaptive execution can split a hub's rows.
     """
-    edges = stored(edges.where("u <> v").distinct(), "edges")
-    names = None
-    while not edges.isEmpty():
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        step = stored(
-            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
-            "step",
-        )
-        if names is None:
-            names = step.select(F.col("u").alias("node"), F.col("m").alias("root"))
-        else:
-            renamed = names.join(step, names["root"] == step["u"], "left")
-            names = stored(renamed.select("node", F.coalesce("m", "root").alias("root")), "names")
-        left = step.select("u", F.col("m").alias("mu"))
-        right = step.select(F.col("u").alias("v"), F.col("m").alias("mv"))
-        edges = stored(
-            edges.join(left, "u")
-            .join(right, "v")
-            .where("mu <> mv")
-            .select(F.least("mu", "mv").alias("u"), F.greatest("mu", "mv").alias("v"))
-            .distinct(),
-            "edges",
-        )
-    if names is None:
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return names
+    greater, least = F.greatest("u", "v"), F.least("u", "v")
+    stars = stored(edges.where("u <> v").select(greater.alias("u"), least.alias("v")).distinct(), "edges")
+    seen = None
+    while True:
+        now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()  # one row
+        if now == seen:
+            break
+        seen = now
+        both = stars.select("u", "v").union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        stars = stored(large.distinct(), "edges")
+        low = stored(stars.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = stars.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        stars = stored(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
