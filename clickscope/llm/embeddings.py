@@ -29,6 +29,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,7 @@ TOP_RADIUS = 1.0
 LEVEL_RADII = (0.2, 0.4, 0.8)
 _TILE = 1024
 _SLACK = 1e-9  # kept from every bound, so that rounding never decides
+_ROUGH = 1e-4  # more than a product of unit vectors is off in single precision
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -68,16 +70,21 @@ def greedy_centres(points: np.ndarray, radius: float, limit: int | None = None)
     """
     owner = np.full(len(points), -1)
     centres: list[int] = []
-    open_ = np.arange(len(points))
-    while len(open_) and (limit is None or len(centres) < limit):
-        centre = open_[0]
-        near = points[open_] @ points[centre] >= 1.0 - radius * radius / 2.0
-        near[0] = True
-        owner[open_[near]] = len(centres)
-        centres.append(int(centre))
-        open_ = open_[~near]
-    if len(open_):
-        owner[open_] = np.argmax(points[open_] @ points[centres].T, axis=1)
+    rough = points.astype(np.float32)
+    for begin in range(0, len(points), _TILE):
+        tile = begin + np.flatnonzero(owner[begin : begin + _TILE] < 0)
+        near = rough[tile] @ rough.T >= 1.0 - radius * radius / 2.0
+        for point, row in zip(tile.tolist(), near):
+            if limit is not None and len(centres) >= limit:
+                break
+            if owner[point] < 0:
+                row &= owner < 0
+                row[point] = True
+                owner[row] = len(centres)
+                centres.append(point)
+    left = np.flatnonzero(owner < 0)
+    if len(left):
+        owner[left] = np.argmax(points[left] @ points[centres].T, axis=1)
     return np.array(centres, np.int64), owner
 
 
@@ -89,8 +96,16 @@ class BlockTree:
     level-0 node of each row.
     """
 
-    def __init__(self, points: np.ndarray) -> None:
+    def __init__(self, points: np.ndarray, levels: dict[str, np.ndarray] | None = None) -> None:
         self.points = points
+        self.rough = points.astype(np.float32)
+        if levels is not None:
+            self.leaf = levels["leaf"]
+            count = sum(name.startswith("centres") for name in levels)
+            self.centres = [levels[f"centres{i}"] for i in range(count)]
+            self.radius = [levels[f"radius{i}"] for i in range(count)]
+            self.parent = [levels[f"parent{i}"] for i in range(count - 1)]
+            return
         first, self.leaf = greedy_centres(points, LEVEL_RADII[0])
         self.centres, self.parent, self.radius = [first], [], []
         under = self.leaf
@@ -111,48 +126,88 @@ class BlockTree:
         np.maximum.at(out, under, gap)
         return out
 
-    def level(self, number: int) -> int:
-        return min(number, len(self.centres) - 1)
+    def packed(self) -> bytes:
+        """The levels as bytes (the points travel beside them)."""
+        out = io.BytesIO()
+        rows = {"leaf": self.leaf}
+        for name in ("centres", "radius", "parent"):
+            rows |= {f"{name}{i}": values for i, values in enumerate(getattr(self, name))}
+        np.savez(out, **rows)
+        return out.getvalue()
+
+    @classmethod
+    def unpacked(cls, points: np.ndarray, levels: bytes) -> BlockTree:
+        with np.load(io.BytesIO(levels)) as rows:
+            return cls(points, dict(rows))
 
 
-def meet(a: BlockTree, b: BlockTree, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Dual traversal: for the lowest nodes, whether a pair is still open and whether it is taken whole."""
+def meet(a: BlockTree, b: BlockTree, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Dual traversal of two trees.
+
+    Returns the lowest nodes of each that have a partner left, and for every
+    pair of those whether it is still open and whether it links whole.  On
+    each level a product in single precision, with room for its error, finds
+    the few pairs for which the bound is then computed in double precision.
+    """
     reach = float(np.sqrt(2.0 - 2.0 * cosine))
     la, lb = len(a.centres) - 1, len(b.centres) - 1
-    alive = np.ones((len(a.centres[la]), len(b.centres[lb])), bool)
+    rows, columns = np.arange(len(a.centres[la])), np.arange(len(b.centres[lb]))
+    alive = None
     while True:
-        gap = distances(a.points[a.centres[la]], b.points[b.centres[lb]])
-        radii = a.radius[la][:, None] + b.radius[lb][None, :]
-        alive &= gap <= reach + radii + _SLACK
+        ra, rb = a.radius[la][rows], b.radius[lb][columns]
+        widest = reach + ra.max(initial=0.0) + rb.max(initial=0.0)
+        at_a, at_b = a.centres[la][rows], b.centres[lb][columns]
+        near = a.rough[at_a] @ b.rough[at_b].T >= 1.0 - widest * widest / 2.0 - _ROUGH
+        if alive is not None:
+            near &= alive
+        on_a, on_b = near.any(axis=1), near.any(axis=0)
+        rows, columns, near = rows[on_a], columns[on_b], near[np.ix_(on_a, on_b)]
+        gap = distances(a.points[at_a[on_a]], b.points[at_b[on_b]])
+        radii = ra[on_a][:, None] + rb[on_b][None, :]
+        near &= gap <= reach + radii + _SLACK
         if not la and not lb:
-            whole = alive & (gap <= reach - radii - _SLACK)
-            return alive & ~whole, whole
-        if not alive.any():
-            shape = (len(a.centres[0]), len(b.centres[0]))
-            return np.zeros(shape, bool), np.zeros(shape, bool)
-        if la >= lb and la:
+            whole = near & (gap <= reach - radii - _SLACK)
+            return rows, columns, near & ~whole, whole
+        if la >= lb:
             la -= 1
-            alive = alive[a.parent[la]]
+            place = np.full(len(a.centres[la + 1]), -1)
+            place[rows] = np.arange(len(rows))
+            under = place[a.parent[la]]
+            rows = np.flatnonzero(under >= 0)
+            alive = near[under[rows]]
         else:
             lb -= 1
-            alive = alive[:, b.parent[lb]]
+            place = np.full(len(b.centres[lb + 1]), -1)
+            place[columns] = np.arange(len(columns))
+            under = place[b.parent[lb]]
+            columns = np.flatnonzero(under >= 0)
+            alive = near[:, under[columns]]
+
+
+def _members(tree: BlockTree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the block under the given lowest nodes, and the place of each one's node among them."""
+    place = np.full(len(tree.centres[0]), -1)
+    place[nodes] = np.arange(len(nodes))
+    under = place[tree.leaf]
+    rows = np.flatnonzero(under >= 0)
+    rows = rows[np.argsort(under[rows], kind="stable")]  # near rows together, so that a tile has few partners
+    return rows, under[rows]
 
 
 def links_between(a: BlockTree, b: BlockTree, cosine: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Tiles of the links: rows of ``a``, rows of ``b``, and which of them link."""
-    open_, whole = meet(a, b, cosine)
+    nodes_a, nodes_b, open_, whole = meet(a, b, cosine)
     some = open_ | whole
-    rows = np.flatnonzero(some.any(axis=1)[a.leaf])
-    # Rows of near nodes together, so that a tile touches few nodes of the other tree.
-    rows = rows[np.argsort(a.leaf[rows], kind="stable")]
+    rows, under_a = _members(a, nodes_a)
+    others, under_b = _members(b, nodes_b)
     for i in range(0, len(rows), _TILE):
-        tile = rows[i : i + _TILE]
-        columns = np.flatnonzero(some[a.leaf[tile]].any(axis=0)[b.leaf])
+        tile, own = rows[i : i + _TILE], under_a[i : i + _TILE]
+        wanted = some[own].any(axis=0)[under_b]
+        columns, partner = others[wanted], under_b[wanted]
         if not len(columns):
             continue
-        pairs = np.ix_(a.leaf[tile], b.leaf[columns])
-        near = a.points[tile] @ b.points[columns].T >= cosine
-        linked = (near & open_[pairs]) | whole[pairs]
+        pairs = np.ix_(own, partner)
+        linked = ((a.points[tile] @ b.points[columns].T >= cosine) & open_[pairs]) | whole[pairs]
         if same:
             linked &= tile[:, None] != columns[None, :]
         yield tile, columns, linked
@@ -264,20 +319,24 @@ def _block_pairs(spark: SparkSession, placed: DataFrame, tops: dict[int, np.ndar
 
 
 def _pack(rows: DataFrame) -> DataFrame:
-    """One row for each block: its vectors, ids and class sizes as bytes."""
+    """One row for each block: its vectors, cover tree, ids and class sizes as bytes.
+
+    The tree is built here, once, however many other blocks this one meets.
+    """
 
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("cid")
         vectors = np.array(frame["embedding"].tolist(), np.float32)
         ids = frame["cid"].to_numpy(np.int64)
         sizes = frame["n"].to_numpy(np.int64)
+        tree = BlockTree(unit_rows(vectors)).packed()
         return pd.DataFrame(
-            [[*key, vectors.tobytes(), ids.tobytes(), sizes.tobytes()]],
-            columns=["dims", "top", "block", "vectors", "ids", "sizes"],
+            [[*key, vectors.tobytes(), tree, ids.tobytes(), sizes.tobytes()]],
+            columns=["dims", "top", "block", "vectors", "tree", "ids", "sizes"],
         )
 
     return rows.groupBy("dims", "top", "block").applyInPandas(
-        pack, "dims int, top int, block int, vectors binary, ids binary, sizes binary"
+        pack, "dims int, top int, block int, vectors binary, tree binary, ids binary, sizes binary"
     )
 
 
@@ -285,17 +344,13 @@ def _compare(pairs: DataFrame, cosine: float) -> DataFrame:
     """Runs the dual traversal for every row (two packed blocks)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes, BlockTree] | None = None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 side = {}
                 for s in "ab":
-                    raw = row[f"vectors_{s}"]
-                    if last is None or last[0] != raw:
-                        points = unit_rows(np.frombuffer(raw, np.float32).reshape(-1, row["dims"]))
-                        last = (raw, BlockTree(points))
-                    side[s] = last[1], *(np.frombuffer(row[f"{x}_{s}"], np.int64) for x in ("ids", "sizes"))
+                    points = unit_rows(np.frombuffer(row[f"vectors_{s}"], np.float32).reshape(-1, row["dims"]))
+                    side[s] = BlockTree.unpacked(points, row[f"tree_{s}"]), *(np.frombuffer(row[f"{x}_{s}"], np.int64) for x in ("ids", "sizes"))
                 same = (row["top_a"], row["block_a"]) == (row["top_b"], row["block_b"])
                 (ta, ia, na), (tb, ib, nb) = side["a"], side["b"]
                 ids, counts, u, v = compare_blocks(ta, tb, ia, ib, na, nb, cosine, same)
@@ -345,7 +400,7 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     def side(s: str) -> DataFrame:
         return packed.select(
-            "dims", *(F.col(c).alias(f"{c}_{s}") for c in ("top", "block", "vectors", "ids", "sizes"))
+            "dims", *(F.col(c).alias(f"{c}_{s}") for c in ("top", "block", "vectors", "tree", "ids", "sizes"))
         )
 
     met = pairs.join(side("a"), ["dims", "top_a", "block_a"]).join(side("b"), ["dims", "top_b", "block_b"])

@@ -61,11 +61,15 @@ def test_trees_cover_and_nest():
             assert set(tree.centres[level + 1]) <= set(centres)
             under = tree.parent[level][under]
     for cosine in (0.99, 0.9, 0.5):
-        open_, whole = E.meet(tree, tree, cosine)
+        again = E.BlockTree.unpacked(points, tree.packed())
+        rows, columns, open_, whole = E.meet(tree, again, cosine)
+        count = len(tree.centres[0])
+        full = {name: np.zeros((count, count), bool) for name in ("open", "whole")}
+        full["open"][np.ix_(rows, columns)], full["whole"][np.ix_(rows, columns)] = open_, whole
         near = points @ points.T >= cosine
         pairs = np.ix_(tree.leaf, tree.leaf)
-        assert not (near & ~(open_ | whole)[pairs]).any()  # nothing that links is pruned
-        assert near[whole[pairs]].all()
+        assert not (near & ~(full["open"] | full["whole"])[pairs]).any()  # nothing that links is pruned
+        assert near[full["whole"][pairs]].all()
 
 
 def test_awkward_vectors(spark):
