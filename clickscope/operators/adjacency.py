@@ -67,19 +67,19 @@ def count_consecutive_pairs(
 
     counters = range(len(wanted))
     slices = rows.groupBy(*group, "__slice").agg(
-        # structs, so that a null value still marks its row
-        F.expr("max(case when __is_first then named_struct('v', __value) end) as __first"),
-        F.expr("max(case when __is_last then named_struct('v', __value) end) as __last"),
+        # a null value is in no wanted pair, so it may look like no value
+        F.expr("max(case when __is_first then __value end) as __first"),
+        F.expr("max(case when __is_last then __value end) as __last"),
         *[F.expr(f"count_if({counter(i, '__value', '__next')}) as __n{i}") for i in counters],
     )
     across = slices.selectExpr(
-        "__last.v as __from",
+        "__last as __from",
         f"lead(__first) over (partition by {groups} order by __slice) as __to",
         *[f"__n{i}" for i in counters],
     )
     totals = across.agg(
         F.lit(0).alias("__any"),
-        *[F.expr(f"sum(__n{i} + if({counter(i, '__from', '__to.v')}, 1, 0)) as __n{i}") for i in counters],
+        *[F.expr(f"sum(__n{i} + if({counter(i, '__from', '__to')}, 1, 0)) as __n{i}") for i in counters],
     )
     kind = df.schema[value].dataType.simpleString()
     entries = [
