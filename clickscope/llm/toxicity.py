@@ -86,6 +86,17 @@ def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word.astype(np.int64) % WORD_BUCKETS, buckets, begins
 
 
+def grams_in_parts(words: list[bytes], part: int = 10_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`word_grams` of many words, whose large arrays are made part by part."""
+    made = [word_grams(words[i : i + part]) for i in range(0, len(words), part)]
+    sizes = np.cumsum([0, *(len(m[1]) for m in made)])
+    return (
+        np.concatenate([m[0] for m in made]),
+        np.concatenate([m[1].astype(np.int32) for m in made]),
+        np.concatenate([m[2] + size for m, size in zip(made, sizes)]),
+    )
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -336,7 +347,8 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Network |
     starts, sizes, owners = windows_of(counts)
     ends = np.cumsum(counts)
     holders = [np.unique(flat[e - n : e]) for e, n in zip(ends, counts)]
-    word_bucket, gram_bucket, gram_begin = word_grams(words)
+    del split  # the texts' words are in ``flat`` by number from here on
+    word_bucket, gram_bucket, gram_begin = grams_in_parts(words)
     gram_count = np.diff(np.append(gram_begin, len(gram_bucket)))
     odds = _log_odds(gram_bucket, gram_begin, holders, toxic)
     word_odds = np.maximum.reduceat(odds[gram_bucket], gram_begin)
@@ -398,7 +410,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Network |
         if round_:
             surely = 0.0
             scorer = Scorer(network)
-            rating = scorer.window_logits(scorer._rows([w for own in split for w in own]), starts, sizes)
+            rating = scorer.window_logits(scorer._rows(words)[flat], starts, sizes)
         rounds = epochs * max(1, 1500 // len(kept))  # small samples are read oftener
         for _ in range(rounds):
             learn(pick(rating, surely, 3, 2 * len(kept)))
