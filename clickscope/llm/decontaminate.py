@@ -13,10 +13,12 @@ traversed by block-max WAND, which returns every item at or above it.
 
 A retrieved item is verified in the document: the five-word shingles of its
 question (all but its last sentence) and of its answer (the last sentence; an
-item of one sentence is both) have to be found to a share of 0.8 each.
+item of one sentence is both) have to be found to a share of 0.8 each.  A part
+of fewer than five words is one shingle and is found where the document has
+just these words in a row.
 
-Defined results: null and empty documents and items match nothing; an item of
-fewer than five words is one shingle; repeated items are items of their own;
+Defined results: null and empty documents and items match nothing; repeated
+items are items of their own;
 a null ``item_id`` or ``doc_id`` is carried as null; an empty table on either
 side gives an empty result; other columns are ignored.  The items go through
 the driver in blocks of a fixed size, each a broadcast index; documents are
@@ -61,11 +63,33 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORDS).split()
 
 
-def shingles(words: list[bytes]) -> set[bytes]:
+class Shingles:
+    """Distinct runs of five words, spaced; one run of all words if there are fewer.
+
+    ``part & text`` are the runs of ``part`` that stand in ``text``, which is
+    cut into runs of the part's size for it; the two do not change places.
+    """
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.words, self.size = words, min(len(words), SHINGLE_WORDS)
+        self.cut: dict[int, set[bytes]] = {}
+
+    def runs(self, size: int) -> set[bytes]:
+        if size not in self.cut:
+            last = len(self.words) - size if size else -1
+            self.cut[size] = {b" ".join(self.words[i : i + size]) for i in range(last + 1)}
+        return self.cut[size]
+
+    def __len__(self) -> int:
+        return len(self.runs(self.size))
+
+    def __and__(self, text: Shingles) -> set[bytes]:
+        return self.runs(self.size) & text.runs(self.size)
+
+
+def shingles(words: list[bytes]) -> Shingles:
     """Runs of five words, spaced; all words if there are fewer."""
-    if not words:
-        return set()
-    return {b" ".join(words[i : i + SHINGLE_WORDS]) for i in range(max(1, len(words) - SHINGLE_WORDS + 1))}
+    return Shingles(words)
 
 
 def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:

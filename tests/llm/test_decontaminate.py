@@ -98,3 +98,54 @@ def test_awkward_rows_and_empty_tables(spark, awkward, nothing):
     assert C.contaminated(nothing, items).count() == 0
     assert C.contaminated(awkward, items.limit(0)).count() == 0
     assert C.without_contaminated(awkward, items.limit(0)).count() == awkward.count()
+
+
+def _stands_in(part, words):
+    """Share of the part's runs of five words, or of all its words if fewer, that the text has in a row."""
+    n = min(5, len(part))
+    runs = {" ".join(part[i : i + n]) for i in range(len(part) - n + 1)}
+    text = f" {' '.join(words)} "
+    return sum(f" {run} " in text for run in runs) / len(runs)
+
+
+@pytest.mark.parametrize("asked", [1, 2, 3, 4, 5, 9])
+@pytest.mark.parametrize("answered", [1, 2, 3, 4, 5, 9])
+def test_items_with_short_parts_are_found(asked, answered):
+    question, answer = ([f"{side}{i}" for i in range(n)] for side, n in (("q", asked), ("a", answered)))
+    before, after = prose(1, 90).split(), prose(2, 90).split()
+    others = _items(20)
+    index = _index([(7, f"{' '.join(question)}? {' '.join(answer)}.".encode()), *others])
+    texts = [
+        before + question + answer + after,
+        question + answer,
+        before + answer + after[:9] + question,
+        before + question + answer[:-1] + after,  # the answer's last word is not there
+        before + question[1:] + answer + after,
+        before + question + answer[::-1] + after,
+        before + [w + "x" for w in question + answer],
+    ]
+    got = [{index.ids[m[0]] for m in found} for found in index.matches([" ".join(t).encode() for t in texts])]
+    want = [{7} if min(_stands_in(question, t), _stands_in(answer, t)) >= 0.8 else set() for t in texts]
+    assert got == want and all(want[:3])
+
+
+def test_whole_items_of_one_to_four_words_are_found():
+    items = [(n, " ".join(f"s{n}{i}" for i in range(n)).encode()) for n in (1, 2, 3, 4)]
+    index = _index(items + _items(20))
+    for n, text in items:
+        assert [index.ids[m[0]] for m in index.matches([b"some words before " + text + b" and behind it"])[0]] == [n]
+
+
+def test_query_finds_what_plain_lists_find(spark):
+    found = {(r.doc_id, r.item_id) for r in op10_decontaminate(spark, sf_dir("0.001")).collect()}
+    items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{sf_dir('0.001')}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{sf_dir('0.001')}/documents.parquet").collect()
+    docs = [(r.doc_id, [w.decode() for w in C.words_of(r.text.encode())]) for r in docs]
+    want, short = set(), 0
+    for item, text in items:
+        parts = [[w.decode() for w in part] for part in C.question_and_answer(text)]
+        for doc, words in docs:
+            if all(_stands_in(p, words) >= 0.8 for p in parts):
+                want.add((doc, item))
+                short += min(map(len, parts)) < 5
+    assert found == want and short
