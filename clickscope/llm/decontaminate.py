@@ -6,7 +6,8 @@ list.  An impact is the term's BM25 weight in the item, divided by the weight
 of the whole item, so that one threshold means the same share of every item.
 
 Every passage of every document is a query: overlapping windows of words, long
-enough that any item lies whole inside one.  A bound is computed for all
+enough that any item of the table lies whole inside one, whichever block of
+the index it is in.  A bound is computed for all
 passages of a batch at once from the rare terms they hold and the most that
 common terms could add; the passages whose bound reaches the threshold are
 traversed by block-max WAND, which returns every item at or above it.
@@ -102,9 +103,15 @@ def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:
 
 
 class ItemIndex:
-    """Block-max inverted index of test items; ``idf`` gives each term's weight."""
+    """Block-max inverted index of test items; ``idf`` gives each term's weight.
 
-    def __init__(self, items: list[tuple[int | None, bytes]], idf: dict[bytes, float], mean_words: float) -> None:
+    ``longest`` is the length of the longest item of the whole table, which
+    sets that of the passages; these items' own longest if it is not given.
+    """
+
+    def __init__(
+        self, items: list[tuple[int | None, bytes]], idf: dict[bytes, float], mean_words: float, longest: int = 1
+    ) -> None:
         self.ids, self.parts, bags = [], [], []
         for item, text in items:
             bag = Counter(words_of(text))
@@ -113,7 +120,7 @@ class ItemIndex:
                 bags.append(bag)
                 question, answer = question_and_answer(text)
                 self.parts.append((shingles(question), shingles(answer)))
-        self.longest = max((sum(b.values()) for b in bags), default=1)
+        self.longest = max(longest, *(sum(b.values()) for b in bags), 1)
         lists: dict[bytes, list[tuple[int, float]]] = {}
         for number, bag in enumerate(bags):
             length = K1 * (1 - B + B * sum(bag.values()) / mean_words)
@@ -283,7 +290,7 @@ def _item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
             counts = [len(words_of(t)) for t in binary_column(batch, "text")]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], names=["n"])
 
-    shape = keyed.select("text").mapInArrow(lengths, "n long").where("n > 0").agg(F.count("*"), F.avg("n")).first()
+    shape = keyed.select("text").mapInArrow(lengths, "n long").where("n > 0").agg(F.count("*"), F.avg("n"), F.max("n")).first()
     for block in range(blocks):
         rows = keyed.where(F.col("key") == block).select("item_id", "text").collect()
         idf = {
@@ -291,7 +298,7 @@ def _item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
             for r in frequency.where(F.col("key") == block).select("term", "n").collect()
         }
         own = sorted(((r["item_id"], r["text"].encode()) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        yield ItemIndex(own, idf, float(shape[1] or 1.0))
+        yield ItemIndex(own, idf, float(shape[1] or 1.0), shape[2] or 1)
 
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"

@@ -149,3 +149,21 @@ def test_query_finds_what_plain_lists_find(spark):
                 want.add((doc, item))
                 short += min(map(len, parts)) < 5
     assert found == want and short
+
+
+def test_block_cuts_do_not_change_how_far_apart_the_parts_may_stand(spark, monkeypatch):
+    # The long item makes passages of 600 words, in which a short item's parts stand 250 words apart.
+    short = [(i, f"{prose(600 + i, 12)}. {prose(700 + i, 8)}") for i in range(12)]
+    items = spark.createDataFrame([*short, (90, prose(9, 300))], "item_id long, text string")
+    apart = [(i, t.replace(". ", f" {'filler ' * 250}")) for i, t in short]
+    docs = make_docs(spark, apart)
+
+    def found():
+        return sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in C.contaminated(docs, items).collect())
+
+    whole = found()
+    assert [(d, i) for d, i, _ in whole] == [(i, i) for i, _ in short]
+    monkeypatch.setattr(C, "INDEX_ITEMS", 4)
+    assert found() == whole
+    kept = C.without_contaminated(docs, items)
+    assert kept.count() == 0
