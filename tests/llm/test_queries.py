@@ -15,7 +15,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 def test_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in names if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
@@ -24,7 +24,7 @@ def test_registered():
 
 
 def test_sql_agrees(spark):
-    report = compare(spark, sf_dir("0.001"), ["op1_substring", "op6_embeddings"])
+    report = compare(spark, sf_dir("0.001"), ["op1_substring", "op6_embeddings", "op11_conversations", "op13_manifest"])
     assert all(v["columns_match"] and v["values_match"] for v in report.values()), report
 
 
