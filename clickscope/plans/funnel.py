@@ -22,14 +22,13 @@ def page_jump_counts(actions: DataFrame, spec: FilterSpec) -> DataFrame:
     The next click is found among *all* product clicks of the session in
     time order; only then are pairs cut to the flow's steps, so no
     adjacency is invented by dropping pages in between.  Clicks are shuffled
-    once, by session and date; a day's clicks of a session leave that stage
-    as one row.
+    once, by session; one that holds a large part of all clicks is cut into
+    runs of consecutive clicks first (:func:`count_consecutive_pairs`).
     """
     clicks = actions.where(F.col("click_product_id") != F.lit(NO_CLICK))
     return count_consecutive_pairs(
         clicks,
         group=["session_id"],
-        slice_by="date",  # the date of action_time, so it grows with it
         order=list(SESSION_ORDER),
         value="page_id",
         pairs=spec.jump_pairs,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from clickscope.operators import slices
 from clickscope.operators.adjacency import count_consecutive_pairs
 from clickscope.sources.adapter import from_driver_tables
 from tests.conftest import sf_dir
@@ -26,8 +27,8 @@ def brute_counts(df, group, order, value, pairs):
     return {p: found[p] for p in pairs if found[p]}
 
 
-def sliced_counts(df, slice_by, **args):
-    return {(r[0], r[1]): r[2] for r in count_consecutive_pairs(df, slice_by=slice_by, **args).collect()}
+def sliced_counts(df, **args):
+    return {(r[0], r[1]): r[2] for r in count_consecutive_pairs(df, **args).collect()}
 
 
 EVERY_PAGE_PAIR = [(a, b) for a in range(1, 11) for b in range(1, 11)]
@@ -43,23 +44,26 @@ def test_counts_match_the_window_on_driver_clicks(spark, reuse, adaptive):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-        assert sliced_counts(actions, "date", **args) == brute_counts(actions, **args)
+        assert sliced_counts(actions, **args) == brute_counts(actions, **args)
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("rows_in_slice", [1, 7, 500, 100_000])
-def test_hot_group_is_cut_and_stitched(spark, rows_in_slice):
+@pytest.mark.parametrize("step", [1, 3, 8])
+def test_hot_group_is_cut_and_stitched(spark, monkeypatch, step):
+    monkeypatch.setattr(slices, "ONE_OF", 2)
+    monkeypatch.setattr(slices, "STEP", step)
     hot = spark.range(0, 3000).select(
         F.lit("hot").alias("g"), F.col("id").alias("t"), ((F.col("id") * 7) % 5).alias("v")
     )
     cold = spark.range(0, 400).select(
         (F.col("id") % 30).cast("string").alias("g"), F.col("id").alias("t"), (F.col("id") % 4).alias("v")
     )
-    data = hot.unionByName(cold).withColumn("s", F.floor(F.col("t") / rows_in_slice))
+    data = hot.unionByName(cold)
     args = dict(group=["g"], order=["t"], value="v", pairs=[(1, 3), (3, 0), (2, 2), (0, 2)])
-    got = sliced_counts(data, "s", **args)
+    assert slices.hot_group_bounds(data, ["g"], ["t"]).selectExpr("g", "size(__bounds) > 20 as many").collect() == [("hot", True)]
+    got = sliced_counts(data, **args)
     assert got == brute_counts(data, **args)
     assert got
 
@@ -71,13 +75,22 @@ def test_null_values_groups_and_slices(spark):
         "g string, s int, t int, v int",
     )
     args = dict(group=["g"], order=["t"], value="v", pairs=[(1, 2), (1, 1), (2, 1)])
-    assert sliced_counts(data, "s", **args) == brute_counts(data, **args) == {(1, 2): 2}
+    assert sliced_counts(data, **args) == brute_counts(data, **args) == {(1, 2): 2}
 
 
 def test_repeated_and_missing_pairs(spark):
     data = spark.createDataFrame([("a", 1, 1, 1), ("a", 1, 2, 2)], "g string, s int, t int, v long")
     args = dict(group=["g"], order=["t"], value="v")
-    assert sliced_counts(data, "s", pairs=[(1, 2), (1, 2)], **args) == {(1, 2): 1}
-    empty = count_consecutive_pairs(data, slice_by="s", pairs=[], **args)
+    assert sliced_counts(data, pairs=[(1, 2), (1, 2)], **args) == {(1, 2): 1}
+    empty = count_consecutive_pairs(data, pairs=[], **args)
     assert empty.count() == 0 and [t for _, t in empty.dtypes] == ["bigint", "bigint", "bigint"]
-    assert sliced_counts(data.limit(0), "s", pairs=[(1, 2)], **args) == {}
+    assert sliced_counts(data.limit(0), pairs=[(1, 2)], **args) == {}
+
+
+def test_ids_far_apart_and_negative(spark):
+    data = spark.createDataFrame(
+        [("a", 1, -(2**62)), ("a", 2, 2**62), ("a", 3, 5), ("a", 4, -7), ("a", 5, 5), ("a", 6, -7)], "g string, t int, v long"
+    )
+    args = dict(group=["g"], order=["t"], value="v")
+    for pairs in ([(-(2**62), 2**62), (2**62, 5)], [(5, -7), (-7, 5), (-7, -7)]):
+        assert sliced_counts(data, pairs=pairs, **args) == brute_counts(data, pairs=pairs, **args) != {}

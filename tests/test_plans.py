@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from clickscope import plans
+from clickscope.config import FilterSpec
+from clickscope.sources import from_driver_tables
 from tests.conftest import sf_dir
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -46,7 +51,7 @@ def test_top10_membership_is_a_semi_join(plans_text):
 def test_aggregates_are_partial_before_shuffle(plans_text):
     for name in ("category_top10", "page_visit_counts", "area_product_city_clicks"):
         assert "partial_count" in plans_text[name], name
-    assert "partial_sum" in plans_text["page_jump_counts"]
+    assert "partial_count(1), partial_max" in plans_text["page_jump_counts"]
 
 
 def test_area_counts_before_joining_dimensions(spark):
@@ -59,18 +64,26 @@ def test_area_counts_before_joining_dimensions(spark):
 
 
 def test_jump_counts_shuffle_the_clicks_once(plans_text):
-    # one shuffle of the clicks by (session, date), one of a row for each of
-    # those by session, one of a row for each task
+    # one shuffle of the clicks by (session, slice); the others carry a
+    # bounded sample, or a row for each wanted pair and each slice
     for name in ("page_jump_counts", "page_jump_rate"):
         text = plans_text[name]
         assert text.count("Window [lead(__value") == 1, name
         assert "rangepartitioning" not in text, name
-    assert plans_text["page_jump_counts"].count("hashpartitioning(session_id") == 2
+        assert len(re.findall(r"hashpartitioning\(session_id#\d+, __slice", text)) == 1, name
+
+
+def test_many_pairs_have_the_plan_of_few(spark):
+    """1,000 pages: one lookup, not a column or a branch for each pair."""
+    actions = from_driver_tables(spark, sf_dir("0.001")).actions
+    few = _plan(plans.page_jump_counts(actions, FilterSpec(target_page_flow=tuple(range(1, 8)))))
+    many = _plan(plans.page_jump_counts(actions, FilterSpec(target_page_flow=tuple(range(1, 1001)))))
+    assert len(few.splitlines()) == len(many.splitlines())
+    assert "INSET" in many
 
 
 def test_area_jobs_leave_other_actions_in_the_scan(spark, tmp_path):
-    from clickscope import plans
-    from clickscope.sources import from_driver_tables, read_parquet_tables, write_parquet_tables
+    from clickscope.sources import read_parquet_tables, write_parquet_tables
 
     root = str(tmp_path / "tables")
     write_parquet_tables(from_driver_tables(spark, sf_dir("0.001")), root)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from clickscope import plans
 from clickscope.config import DRIVER_SPEC, FilterSpec
+from clickscope.operators.adjacency import count_consecutive_pairs
+from clickscope.operators.slices import with_slices
 from clickscope.sources import from_driver_tables
 from clickscope.sources.tables import ClickstreamTables
 from tests.conftest import sf_dir
@@ -74,15 +76,37 @@ def test_hot_session_gives_whole_results(spark):
     args = dict(group=["session_id"], order=["action_time", "action_seq"], value="page_id", pairs=DRIVER_SPEC.jump_pairs)
     jumps = {(r[0], r[1]): r[2] for r in plans.page_jump_counts(actions, DRIVER_SPEC).collect()}
     assert jumps == brute_counts(clicks, **args)
-    # no task gets more than one date of the hot session
-    slices = clicks.where("session_id = 'hot'").groupBy("date").count()
-    assert slices.agg(F.max("count")).first()[0] * 10 < clicks.where("session_id = 'hot'").count()
     top = plans.category_top10(actions)
     sessions = plans.category_session_top10(actions, top).collect()
     assert len(sessions) == 100
     assert all(r.session_rank == 1 for r in sessions if r.session_id == "hot")
 
 
+def test_hot_session_within_a_day_is_spread_over_tasks(spark):
+    """A third of 300,000 clicks in one session and one day: no task has over
+    twice the median's rows, and the counts are the plain window's."""
+    clicks = spark.range(300_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 30000 as string)) as session_id",
+        "cast(timestamp_seconds(id div 4) as string) as action_time",  # ties in every second
+        "id as action_seq",
+        "xxhash64(id) % 5 + 5 as page_id",
+    )
+    keys = dict(group=["session_id"], order=["action_time", "action_seq"])
+    sliced = with_slices(clicks, **keys)
+    largest = sliced.groupBy("session_id", "__slice").count().agg(F.max("count")).first()[0]
+    assert largest < 300_000 / 40
+    dealt = sliced.repartition(8, "session_id", "__slice").groupBy(F.spark_partition_id()).count()
+    sizes = sorted(r["count"] for r in dealt.collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    hot = sliced.where("session_id = 'hot'")
+    runs = hot.groupBy("__slice").agg(F.min("action_seq").alias("lo"), F.max("action_seq").alias("hi")).orderBy("lo").collect()
+    assert [r["__slice"] for r in runs] == list(range(len(runs)))  # consecutive runs, none inside another
+    assert all(a.hi < b.lo for a, b in zip(runs, runs[1:]))
+    pairs = [(a, b) for a in range(10) for b in range(10)]
+    got = count_consecutive_pairs(clicks, **keys, value="page_id", pairs=pairs).collect()
+    assert {(r[0], r[1]): r[2] for r in got} == brute_counts(clicks, **keys, value="page_id", pairs=pairs)
+
+
 def test_jump_direction_on_driver_data(spark):
     # Ascending time gives 18 jumps 1 -> 2 at sf0.01; descending would give 14.
     actions = plans.filtered_actions(from_driver_tables(spark, sf_dir("0.01")), DRIVER_SPEC)
