@@ -56,14 +56,14 @@ def of_categories(behaviors: DataFrame, categories: Sequence[int]) -> DataFrame:
     return behaviors.where(F.col("category_id").isin(list(categories))) if categories else behaviors
 
 
-def count_behaviors(behaviors: DataFrame) -> DataFrame:
-    """A1: clicks, orders and pays per category, 0 when a kind is missing.
+def count_behaviors(behaviors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A1: clicks, orders and pays per category (and ``by``), 0 when a kind is missing.
 
     A plain ``groupBy`` with conditional counts: Spark aggregates partially
     in every task before the shuffle, so a category that holds a third of
     all actions costs one row per task on the wire.
     """
-    return behaviors.groupBy("category_id").agg(
+    return behaviors.groupBy(*by, "category_id").agg(
         F.expr(f"count_if(kind = '{CLICK}') as click_count"),
         F.expr(f"count_if(kind = '{ORDER}') as order_count"),
         F.expr(f"count_if(kind = '{PAY}') as pay_count"),

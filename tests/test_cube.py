@@ -1,0 +1,95 @@
+"""The range-sum cube against the plan that reads the fact table."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickscope import plans
+from clickscope.config import DRIVER_SPEC, REFERENCE_SPEC, FilterSpec
+from clickscope.plans import cube as C
+from clickscope.sources import from_driver_tables
+from clickscope.sources.tables import ClickstreamTables
+from tests import golden as G
+from tests.conftest import sf_dir
+
+RANGES = [
+    DRIVER_SPEC,
+    FilterSpec(),
+    FilterSpec(start_date="2024-01-10"),
+    FilterSpec(end_date="2024-01-10"),
+    FilterSpec(start_age=33),
+    FilterSpec(end_age=33),
+    FilterSpec(start_date="2024-01-07", end_date="2024-01-07", start_age=30, end_age=30),
+    FilterSpec(start_date="2023-01-01", end_date="2023-12-31"),
+    FilterSpec(start_date="2024-01-20", end_date="2024-01-10"),
+    FilterSpec(start_age=200),
+    FilterSpec(start_date="2023-01-01", end_date="2030-01-01", start_age=0, end_age=200, category_ids=(2, 3, 17)),
+]
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def counted(tables, spec):
+    return rows(plans.category_behavior_counts(plans.filtered_actions(tables, spec), spec.category_ids))
+
+
+@pytest.fixture(scope="module")
+def driver(spark):
+    t = from_driver_tables(spark, sf_dir("0.001"))
+    # some without a date, some users without an age
+    actions = t.actions.withColumn("date", F.expr("if(action_seq % 17 = 0, null, date)")).cache()
+    users = t.users.withColumn("age", F.expr("if(userId % 11 = 0, null, age)"))
+    return ClickstreamTables(actions, users, t.products, t.cities)
+
+
+def test_any_range_equals_the_fact_scan(spark, driver, tmp_path):
+    C.build_cube(driver, str(tmp_path / "cube"))
+    cube = C.read_cube(spark, str(tmp_path / "cube"))
+    for spec in RANGES:
+        assert rows(C.category_counts_from_cube(cube, spec)) == counted(driver, spec), spec
+
+
+def test_appended_days_touch_only_themselves(spark, driver, tmp_path):
+    folder = str(tmp_path / "cube")
+    days = C.cube_days(driver.actions.where("date is not null"))
+    early = ClickstreamTables(driver.actions.where(f"date is null or date < '{days[-2]}'"), driver.users, driver.products, driver.cities)
+    C.build_cube(early, folder)
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(folder) for f in names}
+
+    for day in days[-2:]:
+        before = files()
+        C.append_day(driver, folder, day)
+        after = files()
+        assert before.items() <= after.items()
+        assert {os.path.basename(os.path.dirname(f)) for f in after.keys() - before.keys()} == {f"date={day}"}
+    cube = C.read_cube(spark, folder)
+    for spec in RANGES[:7]:
+        assert rows(C.category_counts_from_cube(cube, spec)) == counted(driver, spec), spec
+    with pytest.raises(ValueError):
+        C.append_day(driver, folder, days[0])
+
+
+def test_top10_reads_cells_of_two_days(spark, golden, tmp_path):
+    C.build_cube(golden, str(tmp_path / "cube"))
+    top = C.category_top10_from_cube(C.read_cube(spark, str(tmp_path / "cube")), REFERENCE_SPEC)
+    assert [tuple(r) for r in top.collect()] == G.TOP10
+    with pytest.raises(ValueError):
+        C.category_counts_from_cube(C.read_cube(spark, str(tmp_path / "cube")), FilterSpec(genders=("F",)))
+
+
+def test_empty_tables(spark, golden, tmp_path):
+    nothing = ClickstreamTables(golden.actions.where("false"), golden.users, golden.products, golden.cities)
+    C.build_cube(nothing, str(tmp_path / "cube"))
+    cube = C.read_cube(spark, str(tmp_path / "cube"))
+    assert rows(C.category_counts_from_cube(cube, REFERENCE_SPEC)) == []
+    C.append_day(golden, str(tmp_path / "cube"), "2018-11-01")
+    assert rows(C.category_counts_from_cube(cube := C.read_cube(spark, str(tmp_path / "cube")), FilterSpec())) == [
+        (1, 2, 0, 0), (2, 1, 0, 0)
+    ]
