@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickscope.constants import TOP_CATEGORIES, TOP_SESSIONS
 from clickscope.operators.behavior import behavior_rows, count_behaviors, of_categories
+from clickscope.operators.threshold_topk import top_k_counts
 from clickscope.operators.topk import top_k, top_k_per_group
 
 
@@ -49,13 +50,16 @@ def category_session_counts(actions: DataFrame, top: DataFrame) -> DataFrame:
     of categories may be given.  The count is aggregated partially in every
     task, so a hot session is one row per task before the shuffle.
     """
+    return _clicks_of(actions, top).groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def _clicks_of(actions: DataFrame, top: DataFrame) -> DataFrame:
+    """``category_id, session_id`` of every click on a category of ``top``."""
     ids = top.select(F.col("category_id").alias("__top_category"))
     members = actions.join(
         ids, actions["click_category_id"] == ids["__top_category"], "left_semi"
     )
-    return members.groupBy(F.col("click_category_id").alias("category_id"), "session_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
+    return members.select(F.col("click_category_id").alias("category_id"), "session_id")
 
 
 def category_session_top10(
@@ -72,3 +76,16 @@ def category_session_top10(
         rank_col="session_rank",
     )
     return ranked.select("category_id", "session_id", "click_count", "session_rank")
+
+
+def category_session_top10_by_threshold(actions: DataFrame, top: DataFrame, k: int = TOP_SESSIONS) -> DataFrame:
+    """:func:`category_session_top10` in three phases, so that sessions that
+    cannot be among the k are never shuffled.
+
+    Worth it where few sessions hold many clicks (robots, shared terminals)
+    and the fact table has many files.  The counts of each task are stored when
+    this is called.
+    """
+    return top_k_counts(
+        _clicks_of(actions, top), ["category_id"], "session_id", k, count_col="click_count", rank_col="session_rank"
+    )
