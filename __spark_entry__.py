@@ -10,24 +10,40 @@ the same integer arithmetic (see ``clickscope/sources/adapter.py``).
 
 from __future__ import annotations
 
+import importlib
+import uuid
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
 from clickscope import plans
-from clickscope.config import DRIVER_SPEC, FilterSpec
-from clickscope.sinks.results import as_result, with_task_id
+from clickscope.config import DRIVER_SPEC, PARAMS_KEY, FilterSpec
+from clickscope.plans import apps, sql_text
+from clickscope.session import ensure_checkpoint_dir
+from clickscope.sinks.results import ResultStore, as_result, preview, publish_table, with_task_id
 from clickscope.sources.adapter import from_driver_tables
-from clickscope.sources.tables import ClickstreamTables
+from clickscope.sources.tables import (
+    ClickstreamTables,
+    read_parquet_tables,
+    write_bucketed_tables,
+    write_parquet_tables,
+)
+
+
+
+def _optional(name: str) -> ModuleType | None:
+    """A module of the optional training-data part; None only if that part is not there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as gone:
+        if gone.name in ("clickscope.llm", "clickscope.llm.queries", "corpus_pipeline"):
+            return None
+        raise
+
 
-try:  # the training-data operators are an optional subpackage
-    from clickscope.llm import queries as _llm
-except ImportError:
-    _llm = None
-try:
-    import corpus_pipeline as _pipeline
-except ImportError:
-    _pipeline = None
+_llm = _optional("clickscope.llm.queries")
+_pipeline = _optional("corpus_pipeline")
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SPEC: FilterSpec = DRIVER_SPEC
@@ -44,6 +60,13 @@ LISTED = FilterSpec(
 #: Searches match no click, so the keyword list is registered on the rows themselves.
 SEARCHED = FilterSpec(keywords=("kw_1", "kw_4"), start_age=20)
 TASK = "registered"
+#: The parameters of ``SPEC`` as a properties file has them (S16).
+PROPERTIES = (
+    f'{PARAMS_KEY}={{startDate:"{SPEC.start_date}", endDate:"{SPEC.end_date}", '
+    f'startAge: "{SPEC.start_age}", endAge: "{SPEC.end_age}", \\\n'
+    f'targetPageFlow:"{",".join(map(str, SPEC.target_page_flow))}"}}\n'
+)
+BUCKETS = 8
 
 TablesOf = Callable[[SparkSession, str], ClickstreamTables]
 
@@ -86,6 +109,45 @@ def clickstream_queries(tables: TablesOf = from_driver_tables) -> dict[str, Call
     def saved(name: str, job: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda s, d: with_task_id(as_result(name, job(s, d)), TASK)
 
+    def folder(s: SparkSession, purpose: str) -> str:
+        """A new folder name under the session's shared folder."""
+        return f"{ensure_checkpoint_dir(s).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+    def top10_cube(s: SparkSession, d: str) -> DataFrame:
+        """A3: the cube is stored, then answers the spec's range without the fact table."""
+        at = folder(s, "cube")
+        plans.build_cube(tables(s, d), at)
+        return plans.category_top10_from_cube(plans.read_cube(s, at), SPEC)
+
+    def session_top10_threshold(s: SparkSession, d: str) -> DataFrame:
+        actions = filtered(s, d)
+        return plans.category_session_top10_by_threshold(actions, plans.category_top10(actions))
+
+    def bucketed(s: SparkSession, d: str) -> DataFrame:
+        """J1 on tables bucketed by user, in a database of this call."""
+        name, at = f"clickscope_{uuid.uuid4().hex[:12]}", folder(s, "buckets")
+        s.sql(f"CREATE DATABASE {name} LOCATION '{at}'")
+        return plans.filtered_actions(write_bucketed_tables(tables(s, d), name, BUCKETS, at), SPEC)
+
+    def along_the_curve(s: SparkSession, d: str) -> DataFrame:
+        at = folder(s, "curve")
+        write_parquet_tables(tables(s, d), at, layout="curve")
+        return plans.filtered_actions(read_parquet_tables(s, at), SPEC)
+
+    def published(s: SparkSession, d: str) -> DataFrame:
+        """Q13: publish a first version, switch to the second, and preview what readers see."""
+        name, at = f"clickscope_{uuid.uuid4().hex[:12]}", folder(s, "published")
+        top = plans.area_product_top3(tables(s, d))
+        publish_table(top.where("area_rank = 1"), name, location=at)
+        publish_table(top, name, location=at)
+        return preview(s.table(name))
+
+    def stored_run(s: SparkSession, d: str) -> DataFrame:
+        """S16, Q12, S6, F13: the spec of a properties text, two runs in one store, one read back by its id."""
+        store, t = ResultStore(folder(s, "results")), tables(s, d)
+        apps.run_category_top10(t, UNBOUNDED, store, "another")
+        return apps.run_category_top10(t, FilterSpec.from_properties(PROPERTIES), store, TASK)
+
     return {
         "filtered_actions": filtered,
         "filtered_actions_unbounded": lambda s, d: filtered(s, d, UNBOUNDED),
@@ -108,6 +170,14 @@ def clickstream_queries(tables: TablesOf = from_driver_tables) -> dict[str, Call
         "category_top10_result": saved("category_top10", top10),
         "category_session_top10_result": saved("category_session_top10", session_top10),
         "page_jump_rate_result": saved("page_jump_rate", jump_rate),
+        "category_top10_cube": top10_cube,
+        "category_session_top10_threshold": session_top10_threshold,
+        "filtered_actions_bucketed": bucketed,
+        "filtered_actions_curve": along_the_curve,
+        "filtered_actions_sql": lambda s, d: sql_text.run_text(tables(s, d), sql_text.filtered_actions_text, SPEC),
+        "area_product_city_rows_sql": lambda s, d: sql_text.run_text(tables(s, d), sql_text.area_product_city_rows_text),
+        "area_product_top3_published": published,
+        "category_top10_stored": stored_run,
     }
 
 
@@ -321,6 +391,14 @@ FROM area_city c JOIN area_top t ON c.area = t.area AND c.product_id = t.product
         "category_session_top10_result": f"""
 SELECT '{TASK}' AS task_id, category_id, session_id, click_count FROM ({_SESSION_TOP10})""",
         "page_jump_rate_result": f"SELECT '{TASK}' AS task_id, page_flow, rate FROM ({_JUMP_RATE})",
+        "category_top10_cube": "SELECT * FROM top10",
+        "category_session_top10_threshold": _SESSION_TOP10,
+        "filtered_actions_bucketed": "SELECT * FROM filtered",
+        "filtered_actions_curve": "SELECT * FROM filtered",
+        "filtered_actions_sql": "SELECT * FROM filtered",
+        "area_product_city_rows_sql": "SELECT * FROM area_rows",
+        "area_product_top3_published": "SELECT * FROM area_top",
+        "category_top10_stored": f"SELECT '{TASK}' AS task_id, category_id, click_count, order_count, pay_count FROM top10",
     }
 
 

@@ -6,6 +6,7 @@ from clickscope.sinks.results import (
     JdbcResultStore,
     ResultStore,
     as_result,
+    drop_old_versions,
     new_task_id,
     preview,
     publish_table,
@@ -18,6 +19,7 @@ __all__ = [
     "JdbcResultStore",
     "ResultStore",
     "as_result",
+    "drop_old_versions",
     "new_task_id",
     "preview",
     "publish_table",

@@ -9,7 +9,7 @@ import pytest
 from clickscope import plans
 from clickscope.config import DRIVER_SPEC, REFERENCE_SPEC
 from clickscope.plans import apps
-from clickscope.sinks import ResultStore, as_result, new_task_id, preview, publish_table, with_task_id
+from clickscope.sinks import ResultStore, as_result, drop_old_versions, new_task_id, preview, publish_table, with_task_id
 from clickscope.sources import from_driver_tables
 from tests.conftest import sf_dir
 
@@ -172,3 +172,54 @@ def test_publish_to_catalog_and_read_back_by_name(spark, golden):
     tables = read_catalog_tables(spark, "clickscope_testdb")
     rows = plans.category_top10(plans.filtered_actions(tables, REFERENCE_SPEC)).collect()
     assert [tuple(r) for r in rows] == G.TOP10
+
+
+def test_a_write_that_fails_midway_leaves_the_old_run(spark, golden):
+    store = ResultStore(tempfile.mkdtemp(prefix="clickscope-results-"))
+    top = as_result("category_top10", plans.category_top10(plans.filtered_actions(golden, REFERENCE_SPEC)))
+    store.append("category_top10", top, "run")
+    want = sorted(tuple(r) for r in store.read(spark, "category_top10", "run").collect())
+    # four tasks, of which one fails after others may have written
+    broken = spark.range(0, 400, 1, 4).selectExpr(
+        "id as category_id", "if(id = 399, assert_true(false), null) is null as ok", "id as click_count",
+        "id as order_count", "id as pay_count",
+    ).where("ok").drop("ok")
+    with pytest.raises(Exception):
+        store.append("category_top10", broken, "run")
+    assert sorted(tuple(r) for r in store.read(spark, "category_top10", "run").collect()) == want
+    # staged and never committed: whole, but not there
+    store.stage("category_top10", top.limit(1), "run")
+    store.stage("category_top10", top.limit(1), "never")
+    assert sorted(tuple(r) for r in store.read(spark, "category_top10", "run").collect()) == want
+    assert store.read(spark, "category_top10", "never").count() == 0
+    assert store.read(spark, "category_top10").count() == len(want)
+    assert store.prune(spark, "category_top10") >= 2
+    assert sorted(tuple(r) for r in store.read(spark, "category_top10", "run").collect()) == want
+    # two writers of one id: one of them is the run, never a mixture
+    first = store.stage("category_top10", top.limit(1), "run")
+    second = store.stage("category_top10", top.limit(3), "run")
+    store.commit(spark, "category_top10", "run", second)
+    store.commit(spark, "category_top10", "run", first)
+    assert store.read(spark, "category_top10", "run").count() == 1
+
+
+def test_publish_switches_and_a_failure_keeps_the_old_version(spark, golden):
+    name = "clickscope_test_published"
+    first = publish_table(golden.cities, name)
+    reader = spark.table(name)
+    broken = golden.cities.selectExpr("city_id", "city_name", "if(city_id = 4, raise_error('x'), area) as area")
+    with pytest.raises(Exception):
+        publish_table(broken, name)
+    assert spark.table(name).count() == 4
+    second = publish_table(golden.cities.limit(2).selectExpr("*", "1 as extra"), name)
+    assert spark.table(name).count() == 2 and "extra" in spark.table(name).columns
+    assert reader.count() == 4  # a reader that began before the switch
+    assert drop_old_versions(spark, name, second) >= 1
+    assert not spark.catalog.tableExists(first) and spark.table(name).count() == 2
+
+
+def test_publish_over_a_plain_table_and_to_a_folder(spark, golden, tmp_path):
+    golden.cities.write.saveAsTable("clickscope_test_plain")
+    publish_table(golden.cities.limit(1), "clickscope_test_plain", ["area"], f"file://{tmp_path}/versions")
+    assert spark.table("clickscope_test_plain").count() == 1
+    assert len(list((tmp_path / "versions").iterdir())) == 1
