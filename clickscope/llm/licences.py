@@ -8,7 +8,8 @@ licences.
 
 Defined results: a null or empty text has no words, no places, null word
 positions, empty labels and score 0; a malformed expression adds the label
-``spdx:invalid``; very long texts are scanned whole; repeated rows each give
+``spdx:invalid``, and prose after an expression adds none; very long texts are
+scanned whole, in time in proportion to their length; repeated rows each give
 a row; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -60,6 +61,12 @@ _WORDS = bytes(
 _TAG = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)")
 _PIECE = re.compile(r"[()]|[a-z0-9.+:-]+|\S")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
+#: Identifiers without a digit or a dash, besides the permissive ones.
+_PLAIN_NAMES = {
+    "beerware", "curl", "eurosym", "fair", "glide", "imagemagick", "info-zip", "intel", "jasper", "json", "libpng",
+    "mitnfa", "naumen", "ncsa", "netcdf", "ngpl", "openssl", "ospl", "postgresql", "python", "qhull", "rsa-md", "ruby",
+    "sleepycat", "tcl", "vim", "wtfpl", "x11", "xfree86", "xinetd", "xnet", "zed",
+}
 
 
 def parse_expression(text: str) -> list[str] | None:
@@ -70,7 +77,8 @@ def parse_expression(text: str) -> list[str] | None:
     """
     output: list[str] = []
     operators: list[str] = []
-    complete: list[str] | None = None
+    # the operators that close the longest complete expression, and how much of the output it has
+    complete: tuple[int, list[str]] | None = None
     operand_next, depth = True, 0
     for piece in _PIECE.findall(text.lower()):
         if operand_next:
@@ -80,6 +88,8 @@ def parse_expression(text: str) -> list[str] | None:
                 continue
             if piece in _PRECEDENCE or not piece[0].isalnum():
                 break
+            if output and not _looks_like_a_name(piece):  # prose goes on after the expression
+                break
             output.append(piece)
             operand_next = False
         elif piece in _PRECEDENCE:
@@ -95,8 +105,13 @@ def parse_expression(text: str) -> list[str] | None:
         else:
             break
         if not operand_next and not depth:
-            complete = output + operators[::-1]
-    return complete
+            complete = len(output), operators[::-1]  # outside parentheses at most one of each kind waits
+    return output[: complete[0]] + complete[1] if complete else None
+
+
+def _looks_like_a_name(piece: str) -> bool:
+    """An identifier after an operator: known, or with a digit, a dash or a colon, as prose has not."""
+    return piece in PERMISSIVE or piece in _PLAIN_NAMES or any(c.isdigit() or c in "-:+" for c in piece)
 
 
 def evaluate(postfix: list[str]) -> tuple[bool, set[str]]:
@@ -139,6 +154,7 @@ class LicenceScanner:
         base: set[str] = set()
         labels: set[str] = set()
         doubt, n_base, tagged = 1.0, 0, False
+        counted, at = 0, 0  # spaces before a position that only moves on
         # Latin-1 maps each byte to one character, so byte positions stay.
         for end, (kind, size, label) in self.automaton.iter(spaced.decode("latin-1")):
             if kind == 2:
@@ -148,7 +164,10 @@ class LicenceScanner:
                 doubt *= 1 - PHRASE_WEIGHT
             labels.add(label)
             if kind == 0:
-                at = spaced.count(b" ", 0, end + 1 - size)
+                begin = end + 1 - size
+                # matches come by their ends, and a longer one may begin before the last: step back by as much
+                at += spaced.count(b" ", counted, begin) if begin >= counted else -spaced.count(b" ", begin, counted)
+                counted = begin
                 first = at if first is None else min(first, at)
                 last = at if last is None else max(last, at)
                 n_base += 1
