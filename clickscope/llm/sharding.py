@@ -5,7 +5,12 @@ aggregated per slot, and a small versioned table maps slots to shards.
 Rebalancing edits that map: slots leave overfull shards and join the emptiest
 ones, so rows move only with their slot.
 
-Defined results: a null ``doc_id`` hashes by the text instead; a null text has
+A record is its ``doc_id`` and its text, so rows of one id are spread.  A slot
+that weighs more than a ``HEAVY``-th of a shard (many equal rows, or one huge
+text) is split by a second hash, of the row's place in the stored
+table, into further slots of about that weight, at most ``2 x HEAVY`` for each shard.
+
+Defined results: a null ``doc_id`` is hashed as null; a null text has
 size 1 and checksum 0; repeated rows are rows of their own and take positions
 of their own; an empty table gives an empty result; other columns are ignored.
 """
@@ -23,6 +28,8 @@ from clickscope.llm.common import shared_folder, stored
 
 VIRTUAL_SLOTS = 4096
 SHARDS = 8
+#: Share of a shard above which a slot is split.
+HEAVY = 64
 
 MAP_SCHEMA = T.StructType(
     [
@@ -34,16 +41,32 @@ MAP_SCHEMA = T.StructType(
 
 
 def with_virtual_slots(docs: DataFrame, slots: int = VIRTUAL_SLOTS) -> DataFrame:
-    """``doc_id``, ``size``, ``text_crc32`` and ``vslot`` of every row."""
+    """``doc_id``, ``size``, ``text_crc32`` and ``vslot`` of every row, and its
+    ``place`` in the table."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    rows = docs.select(
         "doc_id",
         (F.octet_length(body).cast("long") + 1).alias("size"),
         F.crc32(F.encode(body, "UTF-8")).cast("long").alias("text_crc32"),
-        F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(body))), F.lit(slots))
-        .cast("int")
-        .alias("vslot"),
     )
+    vslot = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text_crc32", "size"), F.lit(slots)).cast("int")
+    return rows.withColumn("vslot", vslot).withColumn("place", F.monotonically_increasing_id())
+
+
+def split_heavy(rows: DataFrame, weight: list[int], count: list[int], shards: int) -> tuple[DataFrame, int]:
+    """``rows`` with those of heavy slots in slots of their own, and how many slots there are then."""
+    most = max(1, sum(weight) // (shards * HEAVY))
+    slots, parts = len(weight), []
+    for slot, heavy in enumerate(weight):
+        if heavy > most and count[slot] > 1:
+            into = min(-(-heavy // most), count[slot])
+            parts.append((slot, slots, into))
+            slots += into
+    if not parts:
+        return rows, slots
+    table = rows.sparkSession.createDataFrame(parts, "vslot int, first int, into int")
+    spread = F.expr("if(into is null, vslot, cast(first + pmod(xxhash64(place, text_crc32), into) as int))")
+    return rows.join(F.broadcast(table), "vslot", "left").withColumn("vslot", spread).drop("first", "into"), slots
 
 
 def first_map(shards: int = SHARDS, slots: int = VIRTUAL_SLOTS) -> list[int]:
@@ -164,6 +187,9 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = VIRTUAL_SL
     spark = docs.sparkSession
     rows = stored(with_virtual_slots(docs, slots), "slot-rows")
     weight, count = slot_weights(rows, slots)
+    rows, slots = split_heavy(rows, weight, count, shards)
+    if slots > len(weight):
+        weight, count = slot_weights(rows, slots)
     folder = shared_folder(spark, "slot-map")
     zero = first_map(shards, slots)
     store_version(spark, folder, 0, zero)

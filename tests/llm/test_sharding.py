@@ -4,7 +4,10 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from clickscope.llm import sharding as S
+from tests.conftest import sf_dir
 
 
 def test_rebalance_evens_out_and_moves_little():
@@ -62,5 +65,32 @@ def test_positions_and_columns(awkward):
     assert all(sorted(v) == list(range(len(v))) for v in by_shard.values())
 
 
+def near_equal(rows):
+    load = Counter()
+    for r in rows:
+        load[r.shard] += r.size
+        assert 0 <= r.shard < 8
+    assert len(load) == 8 and max(load.values()) - min(load.values()) <= 0.02 * max(load.values()), load
+    by_shard = defaultdict(list)
+    for r in rows:
+        by_shard[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by_shard.values())
+
+
+def test_law_on_a_table(spark):
+    near_equal(S.assign_shards(spark.read.parquet(f"{sf_dir('0.1')}/documents.parquet")).collect())
+
+
+@pytest.mark.parametrize("hot", ["if(id % 3 = 0, 7, id)", "if(id % 3 = 0, null, id)"])
+@pytest.mark.parametrize("text", ["concat('text ', id)", "if(id % 3 = 0, 'the same', concat('text ', id))"])
+def test_hot_id_and_equal_rows(spark, hot, text):
+    docs = spark.range(0, 30_000, 1, 6).selectExpr(f"{hot} as doc_id", f"{text} as text", "'x' as place", "1 as first")
+    out = S.assign_shards(docs)
+    rows = out.collect()
+    assert len(rows) == 30_000
+    near_equal(rows)
+    assert max(Counter(r.vslot for r in rows).values()) < 30_000 / 50  # what one task may number
+
+
 def test_empty_table(nothing):
     assert S.assign_shards(nothing).count() == 0
