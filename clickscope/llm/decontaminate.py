@@ -48,6 +48,8 @@ SHINGLE_WORDS, OVERLAP = 5, 0.8
 #: Passages are at least this long and begin every half of it.
 PASSAGE_WORDS = 128
 POSTINGS_IN_BLOCK = 16
+#: Postings of rare terms that are added up at once (some 50 bytes each).
+POSTINGS_AT_ONCE = 1_000_000
 #: A term that more than this share of the items holds counts as common.
 COMMON_SHARE = 0.1
 #: Bytes of test items in one broadcast index, and items at most.
@@ -153,11 +155,25 @@ class ItemIndex:
         self.rare_items = np.array([n for n, _ in kept], np.int64)
         self.rare_impacts = np.array([x for _, x in kept])
 
-    def promising(self, terms: np.ndarray, passages: np.ndarray) -> np.ndarray:
-        """Passages in which some item's bound reaches the threshold.
+    def promising(self, terms: np.ndarray, passages: np.ndarray) -> Iterator[int]:
+        """Passages in which some item's bound reaches the threshold, in order.
 
-        ``terms`` and ``passages`` run side by side, each pair once.
+        ``terms`` and ``passages`` run side by side, each pair once, passages
+        ascending.  Passages go through together until their terms have
+        ``POSTINGS_AT_ONCE`` postings; one passage is never cut.
         """
+        if not len(passages):
+            return
+        ends = np.append(np.flatnonzero(np.diff(passages)), len(passages) - 1) + 1  # of each passage
+        postings = np.cumsum(self.first[terms + 1] - self.first[terms])[ends - 1]
+        begin, told = 0, 0
+        while begin < len(ends):
+            stop = max(begin + 1, int(np.searchsorted(postings, told + POSTINGS_AT_ONCE, side="right")))
+            low, high = ends[begin - 1] if begin else 0, ends[stop - 1]
+            yield from self._reaching(terms[low:high], passages[low:high]).tolist()
+            begin, told = stop, postings[stop - 1]
+
+    def _reaching(self, terms: np.ndarray, passages: np.ndarray) -> np.ndarray:
         spans = self.first[terms + 1] - self.first[terms]
         at = np.repeat(self.first[terms] - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
         pair = np.repeat(passages, spans) * len(self.ids) + self.rare_items[at]
@@ -241,7 +257,7 @@ class ItemIndex:
             pairs.append((base[owner[ok]] + k[ok]) * len(self.lists) + ids[known[ok]])
         held = np.unique(np.concatenate(pairs))
         passages, terms = held // len(self.lists), held % len(self.lists)
-        for passage in self.promising(terms, passages).tolist():
+        for passage in self.promising(terms, passages):
             low, high = np.searchsorted(passages, [passage, passage + 1])
             text = int(np.searchsorted(base, passage, side="right")) - 1
             for item, score in self.search(terms[low:high].tolist()):

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from clickscope.llm import decontaminate as C
@@ -167,3 +169,33 @@ def test_block_cuts_do_not_change_how_far_apart_the_parts_may_stand(spark, monke
     assert found() == whole
     kept = C.without_contaminated(docs, items)
     assert kept.count() == 0
+
+
+def test_many_items_in_bounded_memory():
+    """20,000 items and 60,000 Zipf words in one block: what is planted, in bounded memory."""
+    r = np.random.default_rng(5)
+    shares = 1 / np.arange(1, 60_001)
+    ranks = r.choice(60_000, 20_000 * 30 + 60_000, p=shares / shares.sum())
+    words = np.char.add("w", ranks.astype(str)).tolist()
+    items = [(k, (" ".join(words[30 * k : 30 * k + 22]) + ". " + " ".join(words[30 * k + 22 : 30 * k + 30])).encode())
+             for k in range(20_000)]
+    index = _index(items)
+    rest = words[600_000:]
+    texts = [" ".join(rest[k : k + 2_500]).encode() for k in range(0, 60_000, 2_500)]
+    planted = {3: 77, 10: 19_999, 23: 0}
+    for text, item in planted.items():
+        texts[text] = texts[text][:5_000] + b" " + items[item][1] + b" " + texts[text][5_000:]
+    tracemalloc.start()
+    found = index.matches(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000_000, peak
+    assert {k: [f[0] for f in hits] for k, hits in enumerate(found) if hits} == {k: [i] for k, i in planted.items()}
+
+
+def test_batches_of_postings_change_nothing(monkeypatch):
+    items = _items(60)
+    texts = [prose(k, 700).encode() + b" " + items[k][1] for k in range(30)]
+    whole = _index(items).matches(texts)
+    monkeypatch.setattr(C, "POSTINGS_AT_ONCE", 50)
+    assert _index(items).matches(texts) == whole and any(whole)

@@ -34,7 +34,7 @@ def test_entry_without_the_optional_parts():
         "class Gone:\n"
         "    def find_spec(self, name, path=None, target=None):\n"
         "        if name.startswith(('clickscope.llm', 'corpus_pipeline')):\n"
-        "            raise ModuleNotFoundError(name)\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
         "names = e.queries()\n"
