@@ -3,8 +3,9 @@
 Every word enters as a word embedding (hashed) and a character embedding (the
 largest of its hashed character n-grams in each dimension, word ends marked).  Two gated recurrent
 layers read a window of words forwards and backwards, attention pools their
-states, and a logistic unit gives the window's score.  All overlapping windows
-of a text are scored; the text's score is the largest.
+states, and a logistic unit gives the window's score.  Overlapping windows that
+begin at every ``STRIDE``-th word are scored (every word is in one, but not
+every start; README has the figures); the text's score is the largest.
 
 The network is trained here, in numpy.  A label belongs to a text, not to a
 window, so training learns from the windows of a toxic text that look most
