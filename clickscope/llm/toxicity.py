@@ -3,9 +3,9 @@
 Every word enters as a word embedding (hashed) and a character embedding (the
 largest of its hashed character n-grams in each dimension, word ends marked).  Two gated recurrent
 layers read a window of words forwards and backwards, attention pools their
-states, and a logistic unit gives the window's score.  Overlapping windows that
-begin at every ``STRIDE``-th word are scored (every word is in one, but not
-every start; README has the figures); the text's score is the largest.
+states, and a logistic unit gives the window's score.  All overlapping windows
+of ``WINDOW`` words are scored, one from every word on; the text's score is the
+largest.  A shorter text is one window.
 
 The network is trained here, in numpy.  A label belongs to a text, not to a
 window, so training learns from the windows of a toxic text that look most
@@ -14,9 +14,11 @@ and ordinary windows of clean texts.
 
 Defined results: null and empty texts and texts without a word score 0; with
 no labelled rows of both kinds every score is 0; a label other than 0 or 1 is
-not learned from; whole texts are scored; repeated rows each give a row (a
-``doc_id`` with several label rows counts as toxic if any says so); other
-columns are ignored.
+not learned from; very long texts are scored whole but not learned from (over
+``SAMPLE_TEXT_BYTES``); repeated rows each give a row (a ``doc_id`` with several
+label rows counts as toxic if any says so, one with several texts is learned
+from once, by the largest of them); of windows with equal scores any gives the
+text's; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,20 +35,26 @@ from clickscope.llm.common import binary_column, text_blocks
 
 #: Bounds of the labelled sample that the network is trained on (about).
 SAMPLE_TOXIC, SAMPLE_CLEAN = 900, 1800
+#: Longest text that is learned from, and bytes of all sampled texts of a label.
+SAMPLE_TEXT_BYTES, SAMPLE_BYTES = 1 << 16, {1: 8 << 20, 0: 16 << 20}
 THRESHOLD = 0.7
-WINDOW, STRIDE = 20, 10
+WINDOW = 8
 HIDDEN, ATTENTION = 8, 8
 WORD_DIMS, CHAR_DIMS = 6, 10
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 12, 1 << 15
 GRAM_SIZES = (3, 4, 5)
-EPOCHS = (4, 2, 2)
+EPOCHS = (4, 2, 2, 2)
+#: How far apart the chosen windows of a clean and of a toxic text begin.
+NEAR = (WINDOW, 1)
+#: Worst windows of a text and, for each text, other clean windows that an epoch reads.
+WORST, OTHERS = 6, 2
 #: Toxic texts that have to hold an n-gram for its log-odds to count.
 SUPPORT = 4
 BATCH = 512
-LEARNING_RATE = 0.015
+LEARNING_RATE, DECAY = 0.015, 0.5
 SEED = 17
 #: Words that a worker remembers, and windows that it scores at once.
-CACHE_WORDS, SCORE_WINDOWS = 250_000, 8192
+CACHE_WORDS, SCORE_WINDOWS = 250_000, 2048
 _HASH_RANGE = 1_000_000
 
 _WORDS = bytes(
@@ -102,6 +110,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _one_over_one_plus_exp(x: np.ndarray) -> None:
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
 class Network:
     """Parameters by name; gates in the order update, reset, candidate."""
 
@@ -249,25 +263,17 @@ def summed(places: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, np.bincount(at, values, len(distinct)).astype(np.float32)
 
 
-def window_starts(count: int) -> np.ndarray:
-    """First words of the overlapping windows that cover ``count`` words."""
-    if count <= WINDOW:
-        return np.zeros(min(count, 1), np.int64)
-    return np.append(np.arange(0, count - WINDOW, STRIDE), count - WINDOW)
-
-
 def windows_of(counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts laid end to end: each window's first word, its length, its text."""
-    starts, sizes, owners, base = [], [], [], 0
-    for text, count in enumerate(counts):
-        own = window_starts(count)
-        starts.append(own + base)
-        sizes.append(np.full(len(own), min(count, WINDOW)))
-        owners.append(np.full(len(own), text))
-        base += count
-    if not starts:
-        return (np.zeros(0, np.int64),) * 3
-    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(owners)
+    count = np.array(counts, np.int64)
+    ends = np.cumsum(count)
+    owner = np.repeat(np.arange(len(count), dtype=np.int32), count)
+    first = np.arange(len(owner)) + WINDOW <= ends[owner]
+    short = (count > 0) & (count < WINDOW)
+    first[(ends - count)[short]] = True
+    starts = np.flatnonzero(first)
+    owners = owner[starts]
+    return starts, np.minimum(count, WINDOW).astype(np.int32)[owners], owners
 
 
 class Scorer:
@@ -275,11 +281,17 @@ class Scorer:
 
     def __init__(self, network: Network) -> None:
         self.network = network
+        p = network.p
+        # Sigmoids and tanhs are both had from one exponential, so the inputs of
+        # the first are kept negated, those of the second doubled.
+        self.scale = np.repeat(np.array([-1, -1, 2], np.float32), HIDDEN)
+        self.rec = [np.ascontiguousarray((p[f"rec_{d}"] * self.scale).T) for d in "fb"]
+        self.att = [np.ascontiguousarray(2 * p["att"][i * HIDDEN : (i + 1) * HIDDEN].T) for i in (0, 1)]
         self._reset()
 
     def _reset(self) -> None:
         self.row: dict[bytes, int] = {}
-        self.gates = np.zeros((1, 2, 3 * HIDDEN), np.float32)  # row 0 stands after a short text
+        self.gates = np.zeros((1, 2, 3 * HIDDEN), np.float32)  # row 0 stands after a text
 
     def _rows(self, words: list[bytes]) -> np.ndarray:
         row = self.row
@@ -296,24 +308,72 @@ class Scorer:
             row.update(zip(fresh, range(base, base + len(fresh))))
         return np.fromiter(map(row.__getitem__, words), np.int64, len(words))
 
-    def window_logits(self, rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        out = np.empty(len(starts), np.float32)
-        padded = np.concatenate([rows, np.zeros(WINDOW, np.int64)])
-        for i in range(0, len(starts), SCORE_WINDOWS):
-            size = sizes[i : i + SCORE_WINDOWS]
-            at = padded[starts[i : i + SCORE_WINDOWS] + np.arange(WINDOW)[:, None]]
-            mask = None if (size == WINDOW).all() else np.arange(WINDOW)[:, None] < size
-            both = self.gates[at if mask is None else np.where(mask, at, 0)]
-            out[i : i + SCORE_WINDOWS] = self.network.forward(both[:, :, 0], both[:, :, 1], mask)
+    def _states(self, gates: np.ndarray, rec: np.ndarray, steps: range) -> np.ndarray:
+        """States by step, dimension, window; window ``i`` reads the words from ``i`` on."""
+        m = gates.shape[1] - WINDOW + 1
+        out = np.empty((WINDOW, HIDDEN, m), np.float32)
+        h = None
+        for t in steps:
+            x = gates[:, t : t + m]
+            if h is None:  # the state before the first word is zero
+                zr, n = x[: 2 * HIDDEN].copy(), x[2 * HIDDEN :].copy()
+                _one_over_one_plus_exp(zr)
+            else:
+                u = rec @ h
+                zr, n = u[: 2 * HIDDEN], u[2 * HIDDEN :]
+                zr += x[: 2 * HIDDEN]
+                _one_over_one_plus_exp(zr)
+                n *= zr[HIDDEN:]
+                n += x[2 * HIDDEN :]
+            _one_over_one_plus_exp(n)
+            n *= -2
+            n += 1
+            np.subtract(0 if h is None else h, n, out=out[t])
+            out[t] *= zr[:HIDDEN]
+            out[t] += n
+            h = out[t]
         return out
 
+    def _every_start(self, gates: np.ndarray) -> np.ndarray:
+        """Logits of the windows that begin at each word; gates by direction, gate, word."""
+        p = self.network.p
+        with np.errstate(over="ignore"):  # one over infinity is the zero wanted
+            f = self._states(gates[0], self.rec[0], range(WINDOW))
+            b = self._states(gates[1], self.rec[1], range(WINDOW - 1, -1, -1))
+            hidden = self.att[0] @ f
+            hidden += self.att[1] @ b
+            _one_over_one_plus_exp(hidden)
+        weight = np.matmul(-2 * p["att_v"], hidden)  # up to a constant
+        weight -= weight.max(axis=0)
+        np.exp(weight, out=weight)
+        value = np.matmul(p["out"][:HIDDEN], f) + np.matmul(p["out"][HIDDEN:], b)
+        return (weight * value).sum(axis=0) / weight.sum(axis=0) + p["out_b"][0]
+
+    def window_logits(self, rows: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Logit of each window of texts laid end to end, as :func:`windows_of` lists them."""
+        padded = np.concatenate([rows, np.zeros(WINDOW - 1, np.int64)])
+        every = np.empty(len(rows), np.float32)
+        for i in range(0, len(rows), SCORE_WINDOWS):
+            part = self.gates[padded[i : i + SCORE_WINDOWS + WINDOW - 1]] * self.scale
+            every[i : i + SCORE_WINDOWS] = self._every_start(np.ascontiguousarray(part.transpose(1, 2, 0)))
+        short = np.flatnonzero(sizes < WINDOW)
+        for i in range(0, len(short), SCORE_WINDOWS):
+            own = short[i : i + SCORE_WINDOWS]
+            mask = np.arange(WINDOW)[:, None] < sizes[own]
+            both = self.gates[np.where(mask, padded[starts[own] + np.arange(WINDOW)[:, None]], 0)]
+            every[starts[own]] = self.network.forward(both[:, :, 0], both[:, :, 1], mask)
+        return every[starts]
+
     def score(self, texts: list[bytes | None]) -> np.ndarray:
         """Largest window score of each text."""
         split = [words_of(t) for t in texts]
         rows = self._rows([w for words in split for w in words])
         starts, sizes, owners = windows_of([len(w) for w in split])
         scores = np.zeros(len(texts))
-        np.maximum.at(scores, owners, _sigmoid(self.window_logits(rows, starts, sizes).astype(np.float64)))
+        if len(starts):
+            own, first = np.unique(owners, return_index=True)
+            worst = np.maximum.reduceat(self.window_logits(rows, starts, sizes), first)
+            scores[own] = _sigmoid(worst.astype(np.float64))
         return scores
 
 
@@ -354,9 +414,10 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Network |
     odds = _log_odds(gram_bucket, gram_begin, holders, toxic)
     word_odds = np.maximum.reduceat(odds[gram_bucket], gram_begin)
     padded = np.concatenate([flat, np.zeros(WINDOW, np.int64)])
-    at = padded[starts[:, None] + np.arange(WINDOW)]
-    inside = np.arange(WINDOW) < sizes[:, None]
-    rating = np.where(inside, word_odds[at], -np.inf).max(axis=1)
+    rating = np.full(len(starts), -np.inf)
+    for k in range(WINDOW):
+        np.maximum(rating, word_odds[padded[starts + k]], out=rating, where=k < sizes)
+    own_first = np.append(np.unique(owners, return_index=True)[1], len(owners))
 
     r = np.random.default_rng(seed)
     network = Network(seed)
@@ -368,20 +429,28 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Network |
 
         Of a toxic text the worst one, and the next ones if they are surely toxic.
         """
-        order = np.lexsort((-rating, owners))
-        rank = np.arange(len(order)) - np.searchsorted(owners[order], owners[order])
-        more = (rank < worst) & (~toxic[owners[order]] | (rating[order] > surely))
-        top = order[(rank == 0) | more]
+        chosen = []
+        for text, (begin, stop) in enumerate(zip(own_first, own_first[1:])):
+            # Windows that share the worst word are rated alike; any of them may be taken.
+            own = rating[begin:stop] + 1e-3 * r.random(stop - begin)
+            for k in range(worst):
+                at = int(own.argmax())
+                if k and (own[at] == -np.inf or toxic[text] and own[at] <= surely):
+                    break
+                chosen.append(begin + at)
+                near = NEAR[int(toxic[text])]  # a marked word is learned in several places of a window
+                own[max(0, at - near + 1) : at + near] = -np.inf
         clean = np.flatnonzero(~toxic[owners])
-        return np.concatenate([top, r.choice(clean, min(others, len(clean)), replace=False)])
+        return np.concatenate([chosen, r.choice(clean, min(others, len(clean)), replace=False)])
 
     def learn(chosen: np.ndarray) -> None:
         y = toxic[owners[chosen]].astype(np.float32)
         for batch in np.array_split(r.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
             own = chosen[batch]
-            use, position = np.unique(at[own].T, return_inverse=True)
+            steps = np.arange(WINDOW)[:, None]
+            use, position = np.unique(padded[starts[own] + steps], return_inverse=True)
             position = position.reshape(WINDOW, len(own))
-            mask = inside[own].T
+            mask = steps < sizes[own]
             spans = gram_count[use]
             first = np.cumsum(spans) - spans
             grams = gram_bucket[np.repeat(gram_begin[use] - first, spans) + np.arange(spans.sum())]
@@ -410,11 +479,12 @@ def train(texts: list[bytes], labels: list[int], seed: int = SEED) -> Network |
     for round_, epochs in enumerate(EPOCHS):
         if round_:
             surely = 0.0
+            adam.rate *= DECAY
             scorer = Scorer(network)
             rating = scorer.window_logits(scorer._rows(words)[flat], starts, sizes)
         rounds = epochs * max(1, 1500 // len(kept))  # small samples are read oftener
         for _ in range(rounds):
-            learn(pick(rating, surely, 3, 2 * len(kept)))
+            learn(pick(rating, surely, WORST, OTHERS * len(kept)))
     return network
 
 
@@ -428,8 +498,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Train on a bounded sample of the labelled rows outside the held-out fold.
 
     Rows of each label are kept by a hash of their id below a threshold that
-    leaves about ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` of them.  Only the
-    sample's ids and texts are joined and collected.
+    leaves about ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` of them, one text an id,
+    and of these, in the order of another hash, as many as ``SAMPLE_BYTES`` lets
+    in.  Only the sample's ids and texts are joined and collected.
     """
     known = (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~in_fold(1))
@@ -443,9 +514,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
         return None
     below = F.pmod(F.xxhash64("doc_id"), F.lit(_HASH_RANGE)) < F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0])
     chosen = known.where(below)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
+        F.octet_length("text") <= SAMPLE_TEXT_BYTES
+    )
     # The sample's size is bounded above, so it can go to every task.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    size = F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    room = F.when(F.col("toxic") == 1, SAMPLE_BYTES[1]).otherwise(SAMPLE_BYTES[0])
+    rows = sample.withColumn("size", size).where(F.col("size") <= room).select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"].encode() for r in rows], [r["toxic"] for r in rows])
 
