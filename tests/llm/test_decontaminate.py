@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +16,8 @@ from clickscope.llm.queries import op10_decontaminate
 from tests.conftest import sf_dir
 from tests.llm.conftest import make_docs, prose
 
+ROOT = Path(__file__).resolve().parents[2]
+
 
 def _index(items):
     df = Counter(w for _, t in items for w in set(C.words_of(t)))
@@ -35,7 +40,7 @@ def test_wand_returns_what_full_scoring_returns(threshold):
         terms = sorted({index.terms[w] for w in words if w in index.terms})
         full = Counter()
         for t in terms:
-            for item, x in index.lists[t]:
+            for item, x in zip(*index.postings(t)):
                 full[item] += x
         want = {i: s for i, s in full.items() if s >= threshold - 1e-9}
         got = dict(index.search(terms, threshold))
@@ -199,3 +204,68 @@ def test_batches_of_postings_change_nothing(monkeypatch):
     whole = _index(items).matches(texts)
     monkeypatch.setattr(C, "POSTINGS_AT_ONCE", 50)
     assert _index(items).matches(texts) == whole and any(whole)
+
+
+def _zipf(count, words, law):
+    r = np.random.default_rng(11)
+    shares = 1 / np.arange(1, 60_001) ** law
+    drawn = np.char.add("w", r.choice(60_000, 30 * count + words, p=shares / shares.sum()).astype(str)).tolist()
+    items = [(k, f"{' '.join(drawn[30 * k : 30 * k + 22])}. {' '.join(drawn[30 * k + 22 : 30 * k + 30])}".encode())
+             for k in range(count)]
+    return items, drawn[30 * count :]
+
+
+@pytest.mark.parametrize("law", [1.0, 1.2])
+def test_many_items_score_as_in_full(law):
+    items, words = _zipf(20_000, 2_560, law)
+    index = _index(items)
+    r, found = random.Random(1), 0
+    for k in range(0, 2_560, 128):
+        own = C.words_of(items[r.randrange(20_000)][1])[: r.randrange(16, 31)]
+        terms = sorted({index.terms[w] for w in [*(w.encode() for w in words[k : k + 128]), *own] if w in index.terms})
+        full = np.zeros(20_000)
+        for t in terms:
+            numbers, impacts = index.postings(t)
+            full[numbers] += impacts
+        got = dict(index.search(terms))
+        assert sorted(got) == np.flatnonzero(full >= C.THRESHOLD - 1e-9).tolist()
+        assert all(abs(full[i] - s) < 1e-9 for i, s in got.items())
+        found += len(got)
+    assert found > 5
+
+
+_FULL_BLOCK = """
+import resource
+from clickscope.llm.common import BLOCK_BYTES
+from tests.llm.test_decontaminate import _index, _zipf
+items, words = _zipf(20_000, 1_000_000, 1.0)
+text = " ".join(words).encode()[:BLOCK_BYTES]
+assert len(text) == BLOCK_BYTES
+index = _index(items)
+cut = [text[: BLOCK_BYTES // 2] + b" " + items[4321][1], items[17][1] + b" " + text[BLOCK_BYTES // 2 :]]
+found = [[hit[0] for hit in hits] for hits in index.matches(cut)]
+assert found == [[4321], [17]], found
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+
+
+def test_a_full_block_of_documents_against_many_items_in_bounded_memory():
+    done = subprocess.run([sys.executable, "-c", _FULL_BLOCK], capture_output=True, text=True, cwd=ROOT)
+    assert not done.returncode, done.stderr
+    assert int(done.stdout) < 1_000, f"{done.stdout} MB"
+
+
+def test_repeated_items_and_indexes_that_are_read_again(spark, monkeypatch):
+    own = [(i, t.decode()) for i, t in _items(24)]
+    items = spark.createDataFrame([*own, *((1000 + k, own[5][1]) for k in range(300)), (None, own[5][1])], "item_id long, text string")
+    docs = make_docs(spark, [(i, prose(i, 30) + " " + t) for i, t in own[3:8]])
+    want = sorted([(str(i), str(i)) for i in range(3, 8)] + [("5", str(1000 + k)) for k in range(300)] + [("5", "None")])
+
+    def found():
+        return sorted((str(r.doc_id), str(r.item_id)) for r in C.contaminated(docs, items).collect())
+
+    assert found() == want
+    monkeypatch.setattr(C, "INDEX_ITEMS", 3)
+    monkeypatch.setattr(C, "KEPT_INDEXES", 1)
+    assert found() == want
+    assert C.without_contaminated(docs, items).count() == 0
