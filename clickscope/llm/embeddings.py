@@ -12,7 +12,8 @@ of the others meet in pairs, one row each.  Two blocks' trees are traversed
 together, level by level: a pair of nodes is pruned if the distance of its
 centres exceeds the threshold by more than both radii, taken whole if it is
 below it by as much, and otherwise its children are looked at; at the bottom
-the cosines are computed in double precision.  A block pair returns how many
+the cosines are computed in double precision.  Components stay as the table
+has them: four bytes if it holds floats, else eight.  A block pair returns how many
 links each vector has there and a spanning forest of them, not the pairs.
 
 Vectors spread evenly in many dimensions are far apart at all but the lowest
@@ -318,15 +319,22 @@ def _block_pairs(spark: SparkSession, placed: DataFrame, tops: dict[int, np.ndar
     return rows, pairs
 
 
+def _numbers(vectors: DataFrame) -> type:
+    """The type of the components: single precision only if the table holds no other."""
+    return np.float32 if vectors.schema["embedding"].dataType.elementType == T.FloatType() else np.float64
+
+
 def _pack(rows: DataFrame) -> DataFrame:
     """One row for each block: its vectors, cover tree, ids and class sizes as bytes.
 
     The tree is built here, once, however many other blocks this one meets.
     """
 
+    kind = _numbers(rows)
+
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("cid")
-        vectors = np.array(frame["embedding"].tolist(), np.float32)
+        vectors = np.array(frame["embedding"].tolist(), kind)
         ids = frame["cid"].to_numpy(np.int64)
         sizes = frame["n"].to_numpy(np.int64)
         tree = BlockTree(unit_rows(vectors)).packed()
@@ -340,8 +348,8 @@ def _pack(rows: DataFrame) -> DataFrame:
     )
 
 
-def _compare(pairs: DataFrame, cosine: float) -> DataFrame:
-    """Runs the dual traversal for every row (two packed blocks)."""
+def _compare(pairs: DataFrame, cosine: float, kind: type) -> DataFrame:
+    """Runs the dual traversal for every row (two packed blocks of components of ``kind``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +357,7 @@ def _compare(pairs: DataFrame, cosine: float) -> DataFrame:
                 row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 side = {}
                 for s in "ab":
-                    points = unit_rows(np.frombuffer(row[f"vectors_{s}"], np.float32).reshape(-1, row["dims"]))
+                    points = unit_rows(np.frombuffer(row[f"vectors_{s}"], kind).reshape(-1, row["dims"]))
                     side[s] = BlockTree.unpacked(points, row[f"tree_{s}"]), *(np.frombuffer(row[f"{x}_{s}"], np.int64) for x in ("ids", "sizes"))
                 same = (row["top_a"], row["block_a"]) == (row["top_b"], row["block_b"])
                 (ta, ia, na), (tb, ib, nb) = side["a"], side["b"]
@@ -375,8 +383,9 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
         & F.exists("embedding", lambda x: x != 0),
         F.lit(False),
     ) & F.col("vec_id").isNotNull()
+    kind = "float" if _numbers(table) is np.float32 else "double"
     rows = stored(
-        table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+        table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
         .withColumn("fine", fine),
         "vectors",
     )
@@ -404,7 +413,7 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
         )
 
     met = pairs.join(side("a"), ["dims", "top_a", "block_a"]).join(side("b"), ["dims", "top_b", "block_b"])
-    found = stored(_compare(met, cosine), "links")
+    found = stored(_compare(met, cosine, _numbers(dealt)), "links")
     counts = found.where("links > 0").groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(found.where("links = 0").select(F.col("cid").alias("u"), F.col("root").alias("v")))
     named = joined.join(joined.groupBy("root").agg(F.min("node").alias("component_id")), "root").select(

@@ -18,7 +18,7 @@ def _brute(vectors, cosine):
     for a in good:
         for b in good:
             if a < b and len(vectors[a][1]) == len(vectors[b][1]):
-                x, y = (np.array(np.float32(vectors[k][1]), np.float64) for k in (a, b))
+                x, y = (np.array(vectors[k][1], np.float64) for k in (a, b))
                 if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
                     links[a] += 1
                     links[b] += 1
@@ -91,3 +91,26 @@ def test_awkward_vectors(spark):
 
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [40, 100_000])
+def test_doubles_are_compared_as_doubles(spark, monkeypatch, block_rows):
+    """Pairs a few 1e-9 above and below the threshold, which single precision would mix up."""
+    monkeypatch.setattr(E, "BLOCK_ROWS", block_rows)
+    r = np.random.default_rng(8)
+    vectors = []
+    for k in range(60):
+        x, other = r.standard_normal((2, 12))
+        x /= np.linalg.norm(x)
+        other -= (other @ x) * x
+        cosine = 0.9 + (1 if k % 2 else -1) * 10 ** r.uniform(-9, -8)
+        y = cosine * x + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
+        vectors += [(2 * k, x.tolist()), (2 * k + 1, (y * r.uniform(0.1, 10)).tolist())]
+    vectors += [(900, [1e300, 1e299]), (901, [1e-300, 1e-301]), (902, [1.0, 0.1])]
+    got = {r.vec_id: r for r in E.near_duplicates(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect()}
+    links, label = _brute(vectors[:-3], 0.9)
+    for (i, _), n, root in zip(vectors, links, label):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (n, root, root == i), i
+    assert all((got[i].n_links, got[i].component_id) == (2, 900) for i in (900, 901, 902))
+    single = _brute([(i, np.float32(v).tolist()) for i, v in vectors[:-3]], 0.9)
+    assert sum(links) >= 60 and single[0] != links
